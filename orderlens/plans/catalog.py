@@ -82,7 +82,7 @@ SALES: dict[str, Query] = {
     "monthly_orders": lambda i: sales.monthly_orders(i.sales),
     "customer_loyalty": lambda i: customers.customer_loyalty(i.sales),
     "customers_by_country_top10": lambda i: customers.customers_by_country_top10(i.sales),
-    "order_frequency_hist": lambda i: customers.order_frequency_hist(i.sales),
+    "order_frequency_hist": lambda i: shown(customers.order_frequency_hist(i.sales)),
     "order_frequency_stats": lambda i: shown(customers.order_frequency_stats(i.sales)),
     "top_customers": lambda i: customers.top_customers(i.sales),
     "new_vs_returning": lambda i: customers.new_vs_returning(i.sales),
@@ -91,7 +91,7 @@ SALES: dict[str, Query] = {
     "top_products_quantity": lambda i: products.top_products_quantity(i.sales),
     "price_hist": lambda i: shown(products.price_hist(i.sales)),
     "price_stats": lambda i: shown(products.price_stats(i.sales)),
-    "products_per_invoice_hist": lambda i: products.products_per_invoice_hist(i.sales),
+    "products_per_invoice_hist": lambda i: shown(products.products_per_invoice_hist(i.sales)),
     "products_per_invoice_stats": lambda i: shown(products.products_per_invoice_stats(i.sales)),
     "aov_monthly": lambda i: orders.aov_monthly(i.sales),
     "aov_overall": lambda i: orders.aov_overall(i.sales),
