@@ -6,6 +6,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import durable
 from orderlens.functions.numeric import exact_mean, exact_sum
 from orderlens.functions.times import whole_days
 from orderlens.operators.features import NUMERIC_FEATURES, reference_date
@@ -48,7 +49,7 @@ SEVEN_FEATURES = [
 
 def seven_features(sales: DataFrame) -> DataFrame:
     """``AvgOrderValue`` is the mean line amount here."""
-    per_customer = sales.groupBy("CustomerID").agg(
+    per_customer = durable(sales.groupBy("CustomerID").agg(
         F.max("InvoiceDate").alias("_last"),
         F.countDistinct("InvoiceNo").alias("Frequency"),
         exact_sum("TotalAmount").alias("Monetary"),
@@ -56,10 +57,9 @@ def seven_features(sales: DataFrame) -> DataFrame:
         F.sum("Quantity").alias("TotalItems"),
         F.countDistinct("StockCode").alias("UniqueProducts"),
         exact_mean("UnitPrice").alias("AvgUnitPrice"),
-    )
-    return per_customer.withColumn(
-        "Recency", whole_days(F.col("_last"), reference_date(sales))
-    ).drop("_last")
+    ))
+    recency = whole_days(F.col("_last"), reference_date(per_customer, "_last"))
+    return per_customer.withColumn("Recency", recency).drop("_last")
 
 
 def feature_corr_7(sales: DataFrame) -> DataFrame:

@@ -3,9 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import durable
 from orderlens.functions.numeric import exact_mean, exact_sum
 from orderlens.functions.times import DAYS_PER_MONTH, day_after, whole_days
-from orderlens.operators.star import most_frequent
 
 NUMERIC_FEATURES = [
     "total_revenue",
@@ -30,70 +30,59 @@ def category(stock_code: str = "StockCode") -> Column:
     return F.substring(stock_code, 1, 2)
 
 
-def reference_date(sales: DataFrame) -> Column:
+def reference_date(customers: DataFrame, last: str) -> Column:
     """One day after the last purchase of all customers."""
-    return sales.agg(day_after(F.max("InvoiceDate"))).scalar()
-
-
-def _tally(part: Column, size: int, name: str) -> list[Column]:
-    return [F.count_if(part == i).alias(f"_{name}{i}") for i in range(size)]
-
-
-def _commonest(size: int, name: str) -> Column:
-    """Index of the largest tally, the smallest index on ties."""
-    tallies = F.array(*[F.col(f"_{name}{i}") for i in range(size)])
-    return (F.array_position(tallies, F.array_max(tallies)) - 1).cast("int")
+    return customers.agg(day_after(F.max(last))).scalar()
 
 
 def customer_features(sales: DataFrame) -> DataFrame:
     """Sixteen features per customer.
 
-    Weekday and hour have small fixed domains, so their modes come from plain counters inside the
-    one aggregation; country is counted per (customer, country) first.
+    Everything additive comes from one aggregation; its modes keep one counter per weekday, hour
+    and country, domains that do not grow with the lines. The distinct counts are a second pass,
+    which needs no removal of copies. The joined rows, one per customer, are written once: the
+    last purchase of all is read from them, not from the lines.
     """
     at = F.col("InvoiceDate")
     base = sales.groupBy("CustomerID").agg(
         exact_sum("TotalAmount").alias("total_revenue"),
         F.sum("Quantity").alias("total_items"),
+        exact_mean("UnitPrice").alias("avg_unit_price"),
         F.min(at).alias("_first"),
         F.max(at).alias("_last"),
-        exact_mean("UnitPrice").alias("avg_unit_price"),
-        *_tally(F.weekday(at), 7, "day"),
-        *_tally(F.hour(at), 24, "hour"),
+        F.mode(F.weekday(at), True).alias("preferred_day"),
+        F.mode(F.hour(at), True).alias("preferred_hour"),
+        F.mode("Country", True).alias("country"),
     )
     variety = sales.groupBy("CustomerID").agg(
         F.countDistinct("InvoiceNo").alias("total_orders"),
         F.countDistinct("StockCode").alias("unique_products"),
         F.countDistinct(category()).alias("unique_categories"),
     )
-    country = most_frequent(sales, "CustomerID", "Country", "country")
+    customers = durable(base.join(variety, "CustomerID"))
+
     orders = F.col("total_orders").cast("double")
-    tenure = F.col("customer_tenure_days")
-    return (
-        base.join(variety, "CustomerID")
-        .join(country, "CustomerID", "left")
-        .withColumn("customer_tenure_days", whole_days(F.col("_first"), F.col("_last")))
-        .select(
-            "CustomerID",
-            "total_revenue",
-            "total_items",
-            "total_orders",
-            "unique_products",
-            "avg_unit_price",
-            (F.col("total_revenue") / orders).alias("avg_order_value"),
-            (F.col("total_items") / orders).alias("avg_items_per_order"),
-            "customer_tenure_days",
-            whole_days(F.col("_last"), reference_date(sales)).alias("recency_days"),
-            F.try_divide("total_revenue", F.col("total_items").cast("double")).alias(
-                "revenue_per_item"
-            ),
-            (F.col("total_orders") > 1).cast("int").alias("is_repeat_customer"),
-            F.when(tenure > 0, F.try_divide(orders, tenure / F.lit(DAYS_PER_MONTH)))
-            .otherwise(orders)
-            .alias("purchase_frequency"),
-            "unique_categories",
-            _commonest(7, "day").alias("preferred_day"),
-            _commonest(24, "hour").alias("preferred_hour"),
-            "country",
-        )
+    tenure = whole_days(F.col("_first"), F.col("_last"))
+    return customers.select(
+        "CustomerID",
+        "total_revenue",
+        "total_items",
+        "total_orders",
+        "unique_products",
+        "avg_unit_price",
+        (F.col("total_revenue") / orders).alias("avg_order_value"),
+        (F.col("total_items") / orders).alias("avg_items_per_order"),
+        tenure.alias("customer_tenure_days"),
+        whole_days(F.col("_last"), reference_date(customers, "_last")).alias("recency_days"),
+        F.try_divide("total_revenue", F.col("total_items").cast("double")).alias(
+            "revenue_per_item"
+        ),
+        (F.col("total_orders") > 1).cast("int").alias("is_repeat_customer"),
+        F.when(tenure > 0, F.try_divide(orders, tenure / F.lit(DAYS_PER_MONTH)))
+        .otherwise(orders)
+        .alias("purchase_frequency"),
+        "unique_categories",
+        "preferred_day",
+        "preferred_hour",
+        "country",
     )

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import durable
 from orderlens.functions.numeric import EXACT, exact_mean, exact_sum, percent
 from orderlens.functions.ordering import running_totals
 from orderlens.functions.times import whole_days
@@ -12,20 +13,16 @@ QUINTILE_EDGES = (0.2, 0.4, 0.6, 0.8)
 
 
 def rfm_base(sales: DataFrame) -> DataFrame:
-    return (
-        sales.groupBy("CustomerID")
-        .agg(
+    """The customer rows are written once; the last purchase of all is read from them."""
+    customers = durable(
+        sales.groupBy("CustomerID").agg(
             F.max("InvoiceDate").alias("_last"),
             F.countDistinct("InvoiceNo").alias("Frequency"),
             exact_sum("TotalAmount").alias("Monetary"),
         )
-        .select(
-            "CustomerID",
-            whole_days(F.col("_last"), reference_date(sales)).alias("Recency"),
-            "Frequency",
-            "Monetary",
-        )
     )
+    recency = whole_days(F.col("_last"), reference_date(customers, "_last"))
+    return customers.select("CustomerID", recency.alias("Recency"), "Frequency", "Monetary")
 
 
 def rank_quintile(position: Column, rows: Column) -> Column:

@@ -3,45 +3,37 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.numeric import exact_mean, exact_sum
+from orderlens.functions.numeric import EXACT
 from orderlens.functions.times import whole_days
 
 
-def most_frequent(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """key, most frequent value, ties to the smallest.
-
-    Counted by (key, value) first, so a hot key arrives at the second step as one row per value.
-    """
-    return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(key, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(key)
-        .agg(F.min_by(F.col(value), F.struct(-F.col("n"), F.col(value))).alias(name))
-    )
-
-
 def dim_customers(fact: DataFrame) -> DataFrame:
     """``AvgOrderValue`` is the mean line amount, and revenue is net of returns.
 
-    Country is the one of the earliest line, ties alphabetical, as lines have no file order.
+    Country is the one of the earliest line, ties alphabetical, as lines have no file order. Lines
+    add up per (customer, country) first; the distinct counts are a pass of their own, which needs
+    no removal of copies.
     """
-    totals = fact.groupBy("CustomerID").agg(
-        F.min("InvoiceDate").alias("FirstPurchaseDate"),
-        F.max("InvoiceDate").alias("LastPurchaseDate"),
+    per_country = fact.groupBy("CustomerID", "Country").agg(
+        F.min("InvoiceDate").alias("first"),
+        F.max("InvoiceDate").alias("last"),
+        F.sum("Quantity").alias("items"),
+        F.sum(F.col("TotalAmount").cast(EXACT)).alias("amount"),
+        F.count("TotalAmount").cast("double").alias("lines"),
+    )
+    totals = per_country.groupBy("CustomerID").agg(
+        F.min_by("Country", F.struct("first", "Country")).alias("Country"),
+        F.min("first").alias("FirstPurchaseDate"),
+        F.max("last").alias("LastPurchaseDate"),
+        F.sum("items").alias("TotalItems"),
+        F.sum("amount").cast("double").alias("TotalRevenue"),
+        F.try_divide(F.sum("amount").cast("double"), F.sum("lines")).alias("AvgOrderValue"),
+    )
+    variety = fact.groupBy("CustomerID").agg(
         F.countDistinct("InvoiceNo").alias("TotalOrders"),
-        F.sum("Quantity").alias("TotalItems"),
-        exact_sum("TotalAmount").alias("TotalRevenue"),
-        exact_mean("TotalAmount").alias("AvgOrderValue"),
         F.countDistinct("StockCode").alias("UniqueProducts"),
     )
-    country = (
-        fact.groupBy("CustomerID", "Country")
-        .agg(F.min("InvoiceDate").alias("since"))
-        .groupBy("CustomerID")
-        .agg(F.min_by("Country", F.struct("since", "Country")).alias("Country"))
-    )
-    return totals.join(country, "CustomerID").select(
+    return totals.join(variety, "CustomerID").select(
         "CustomerID",
         "Country",
         "FirstPurchaseDate",
@@ -58,16 +50,30 @@ def dim_customers(fact: DataFrame) -> DataFrame:
 
 
 def dim_products(fact: DataFrame) -> DataFrame:
-    totals = fact.groupBy("StockCode").agg(
-        exact_mean("UnitPrice").alias("AvgUnitPrice"),
-        F.min("UnitPrice").alias("MinUnitPrice"),
-        F.max("UnitPrice").alias("MaxUnitPrice"),
-        F.sum("Quantity").alias("TotalQtySold"),
-        exact_sum("TotalAmount").alias("TotalRevenue"),
-        F.countDistinct("InvoiceNo").alias("TimesOrdered"),
+    """Lines add up per (product, name) first, which also settles the most frequent name."""
+    per_name = fact.groupBy("StockCode", "Description").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.col("UnitPrice").cast(EXACT)).alias("prices"),
+        F.count("UnitPrice").alias("priced"),
+        F.min("UnitPrice").alias("low"),
+        F.max("UnitPrice").alias("high"),
+        F.sum("Quantity").alias("items"),
+        F.sum(F.col("TotalAmount").cast(EXACT)).alias("amount"),
+    )
+    totals = per_name.groupBy("StockCode").agg(
+        F.min_by("Description", F.struct(-F.col("lines"), F.col("Description"))).alias(
+            "Description"
+        ),
+        F.try_divide(F.sum("prices").cast("double"), F.sum("priced").cast("double")).alias(
+            "AvgUnitPrice"
+        ),
+        F.min("low").alias("MinUnitPrice"),
+        F.max("high").alias("MaxUnitPrice"),
+        F.sum("items").alias("TotalQtySold"),
+        F.sum("amount").cast("double").alias("TotalRevenue"),
     )
-    names = most_frequent(fact, "StockCode", "Description", "Description")
-    return totals.join(names, "StockCode").select(
+    orders = fact.groupBy("StockCode").agg(F.countDistinct("InvoiceNo").alias("TimesOrdered"))
+    return totals.join(orders, "StockCode").select(
         "StockCode",
         "Description",
         "AvgUnitPrice",

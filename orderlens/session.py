@@ -8,6 +8,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("orderlens")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
