@@ -2,9 +2,9 @@
 
 A window without ``partitionBy`` moves every row to one task. Here rows are range-partitioned
 on the full sort key (ties are split by the key's last columns, so one heavy value cannot fill
-a partition beyond what the key allows), made durable so the partition number is a fact and
-not something recomputed, numbered inside each partition, and shifted by the partition's
-offset. The offset table has one row per partition and group, so it is broadcast.
+a partition beyond what the key allows), added up inside each partition, made durable so the
+partition number is a fact and not something recomputed, and shifted by the partition's offset.
+The offset table has one row per partition and group, so it is broadcast.
 """
 
 from collections.abc import Mapping, Sequence
@@ -29,30 +29,30 @@ def running_totals(
     """
     keys = list(group)
     sort = [F.col(g).asc() for g in keys] + list(order)
+    here = Window.partitionBy(*keys, _PARTITION).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    own = {t: f"_own_{t}" for t in totals}
     parts = durable(
-        df.select("*", *[c.alias(name) for name, c in totals.items()])
+        df.select("*", *[c.alias(own[t]) for t, c in totals.items()])
         .repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
         .withColumn(_PARTITION, F.spark_partition_id())
+        .withColumns({t: F.sum(own[t]).over(here) for t in totals})
     )
 
-    per_part = parts.groupBy(*keys, _PARTITION).agg(*[F.sum(t).alias(t) for t in totals])
     before = Window.partitionBy(*keys).orderBy(_PARTITION).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = per_part.select(
-        *keys,
-        _PARTITION,
-        *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"_before_{t}") for t in totals],
-    )
-
-    here = Window.partitionBy(*keys, _PARTITION).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    joined = parts.withColumns({t: F.sum(t).over(here) for t in totals}).join(
-        F.broadcast(offsets), [*keys, _PARTITION]
+    offsets = durable(
+        parts.groupBy(*keys, _PARTITION)
+        .agg(*[F.sum(own[t]).alias(own[t]) for t in totals])
+        .select(
+            *keys,
+            _PARTITION,
+            *[F.coalesce(F.sum(own[t]).over(before), F.lit(0)).alias(f"_before_{t}") for t in totals],
+        )
     )
-    return joined.select(
+    return parts.join(F.broadcast(offsets), [*keys, _PARTITION]).select(
         *df.columns, *[(F.col(t) + F.col(f"_before_{t}")).alias(t) for t in totals]
     )
 

@@ -1,26 +1,31 @@
-"""K-means customer segments on scaled log RFM, and their two-dimensional projection."""
+"""K-means customer segments on scaled log RFM, and their two-dimensional projection.
 
-from collections.abc import Iterable, Sequence
-from multiprocessing.pool import ThreadPool
+The elbow needs nine cluster counts with ten restarts each. All ninety models move together: one
+pass over the customers assigns each of them in every model, adds up per task, and only the sums
+(a row per centre) are shuffled and brought to the driver. Converged models drop out of the pass.
+"""
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from collections.abc import Iterable, Iterator, Sequence
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.durable import durable
 from orderlens.functions.numeric import exact_mean
 
 MEASURES = ["Recency", "Frequency", "Monetary"]
+SCALED = [f"{c}_scaled" for c in MEASURES]
 ELBOW_RANGE = range(2, 11)
 CLUSTERS = 4
 SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4
-PARALLEL_FITS = 8
+SEEDING_ROWS = 10_000
 
 # Cluster names by falling mean revenue.
 CLUSTER_LABELS = ["Champions", "Loyal Customers", "At Risk", "New/Casual"]
@@ -29,77 +34,142 @@ CLUSTER_LABELS = ["Champions", "Loyal Customers", "At Risk", "New/Casual"]
 def rfm_scaled(rfm: DataFrame) -> DataFrame:
     """log1p, then centred and divided by the population standard deviation."""
     logs = rfm.select("CustomerID", *[F.log1p(c).alias(c) for c in MEASURES])
-    stats = (
-        logs.agg(
-            *[F.avg(c).alias(f"{c}_mean") for c in MEASURES],
-            *[F.stddev_pop(c).alias(f"{c}_std") for c in MEASURES],
-        )
+    stats = logs.agg(
+        *[F.avg(c).alias(f"{c}_mean") for c in MEASURES],
+        *[F.stddev_pop(c).alias(f"{c}_std") for c in MEASURES],
     )
     one = stats.select(F.struct(*stats.columns)).scalar()
 
-    def scaled(c: str):
+    def scaled(c: str) -> Column:
         # A constant measure is centred only.
         spread = F.when(one[f"{c}_std"] == 0, F.lit(1.0)).otherwise(one[f"{c}_std"])
         return (F.col(c) - one[f"{c}_mean"]) / spread
 
-    return logs.select("CustomerID", *[scaled(c).alias(f"{c}_scaled") for c in MEASURES])
-
-
-def feature_vectors(rfm: DataFrame) -> DataFrame:
-    """The RFM columns with their scaled vector, written once because fitting reads it often."""
-    joined = rfm.join(rfm_scaled(rfm), "CustomerID")
-    assembler = VectorAssembler(
-        inputCols=[f"{c}_scaled" for c in MEASURES], outputCol="features"
-    )
-    return durable(assembler.transform(joined).select("CustomerID", *MEASURES, "features"))
-
-
-def best_models(
-    vectors: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, parallel: int = PARALLEL_FITS
-) -> dict[int, KMeansModel]:
-    """Per k the model of least cost over seeds 42, 43, ...; the fits share the cluster."""
-    jobs = [(k, SEED + i) for k in ks for i in range(restarts)]
-
-    def fit(job: tuple[int, int]) -> tuple[int, float, KMeansModel]:
-        k, seed = job
-        model = KMeans(
-            k=k, seed=seed, maxIter=MAX_ITERATIONS, tol=TOLERANCE, featuresCol="features"
-        ).fit(vectors)
-        return k, model.summary.trainingCost, model
-
-    # Every fit scans the vectors many times.
-    cached = vectors.persist()
+    return logs.select("CustomerID", *[scaled(c).alias(s) for c, s in zip(MEASURES, SCALED)])
+
+
+def scaled_points(rfm: DataFrame) -> DataFrame:
+    """The RFM columns with their scaled values, written once because fitting reads them often."""
+    return durable(rfm.join(rfm_scaled(rfm), "CustomerID").select("CustomerID", *MEASURES, *SCALED))
+
+
+def seed_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++: each next centre drawn with probability by squared distance to the nearest."""
+    centres = [sample[rng.integers(len(sample))]]
+    nearest = np.full(len(sample), np.inf)
+    while len(centres) < k:
+        nearest = np.minimum(nearest, ((sample - centres[-1]) ** 2).sum(axis=1))
+        total = nearest.sum()
+        weights = nearest / total if total > 0 else None
+        centres.append(sample[rng.choice(len(sample), p=weights)])
+    return np.array(centres)
+
+
+def _sums_per_centre(models: Sequence[np.ndarray]):
+    """Task side: per model and centre the count, coordinate sums and squared distances."""
+    sizes = [len(m) for m in models]
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    stacked = np.vstack(models)
+    squares = (stacked**2).sum(axis=1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = np.zeros((len(stacked), 2 + stacked.shape[1]))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            distance = (x**2).sum(axis=1)[:, None] - 2 * x @ stacked.T + squares
+            rows = np.column_stack([np.ones(len(x)), np.zeros(len(x)), x])
+            for start, size in zip(starts, sizes):
+                part = distance[:, start : start + size]
+                label = part.argmin(axis=1)
+                rows[:, 1] = np.maximum(part[np.arange(len(x)), label], 0.0)
+                one_hot = np.eye(size)[label]
+                totals[start : start + size] += one_hot.T @ rows
+        used = np.flatnonzero(totals[:, 0])
+        yield pd.DataFrame({"centre": used, "sums": list(totals[used])})
+
+    return run
+
+
+def fit_models(
+    points: DataFrame, ks: Iterable[int], restarts: int = RESTARTS
+) -> dict[int, tuple[float, np.ndarray]]:
+    """Per k the least cost and its centres over all restarts."""
+    values = points.select(*SCALED).persist()
     try:
-        with ThreadPool(parallel) as pool:
-            fits = pool.map(inheritable_thread_target(vectors.sparkSession)(fit), jobs)
+        # Seeding looks at a bounded sample in hash order; the fit itself uses every customer.
+        sample = (
+            points.orderBy(F.xxhash64("CustomerID", F.lit(SEED)))
+            .limit(SEEDING_ROWS)
+            .select(*SCALED)
+            .toPandas()
+            .to_numpy(dtype=float)
+        )
+        active = {
+            (k, r): seed_centres(sample, k, np.random.default_rng(SEED + r))
+            for k in ks
+            for r in range(restarts)
+        }
+        done: dict[tuple[int, int], tuple[float, np.ndarray]] = {}
+        for iteration in range(MAX_ITERATIONS):
+            keys, models = list(active), list(active.values())
+            sums = (
+                values.mapInPandas(_sums_per_centre(models), "centre long, sums array<double>")
+                .groupBy("centre")
+                .agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(2 + len(SCALED))])
+                .collect()  # one row per centre
+            )
+            totals = np.zeros((sum(map(len, models)), 2 + len(SCALED)))
+            for row in sums:
+                totals[row["centre"]] = row[1:]
+            start = 0
+            for key, centres in zip(keys, models):
+                mine = totals[start : start + len(centres)]
+                start += len(centres)
+                filled = mine[:, 0] > 0
+                moved = centres.copy()
+                moved[filled] = mine[filled, 2:] / mine[filled, :1]
+                # The scaled columns have variance one, so the tolerance needs no scaling.
+                shift = ((moved - centres) ** 2).sum()
+                if shift <= TOLERANCE or iteration == MAX_ITERATIONS - 1:
+                    done[key] = (float(mine[:, 1].sum()), centres)
+                    del active[key]
+                else:
+                    active[key] = moved
+            if not active:
+                break
     finally:
-        cached.unpersist()
-    best: dict[int, tuple[float, KMeansModel]] = {}
-    for k, cost, model in fits:
-        if k not in best or cost < best[k][0]:
-            best[k] = (cost, model)
-    return {k: model for k, (_, model) in best.items()}
+        values.unpersist()
+    best: dict[int, tuple[float, np.ndarray]] = {}
+    for (k, _), fit in sorted(done.items()):
+        if k not in best or fit[0] < best[k][0]:
+            best[k] = fit
+    return best
 
 
 def kmeans_elbow(
     rfm: DataFrame, ks: Sequence[int] = ELBOW_RANGE, restarts: int = RESTARTS
 ) -> DataFrame:
-    models = best_models(feature_vectors(rfm), ks, restarts)
+    fits = fit_models(scaled_points(rfm), ks, restarts)
     return rfm.sparkSession.createDataFrame(
-        [(k, float(m.summary.trainingCost)) for k, m in sorted(models.items())],
-        "k int, inertia double",
+        [(k, cost) for k, (cost, _) in sorted(fits.items())], "k int, inertia double"
     )
 
 
-def assign_clusters(rfm: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS) -> DataFrame:
-    vectors = feature_vectors(rfm)
-    return best_models(vectors, [k], restarts)[k].transform(vectors)
+def nearest_centre(centres: np.ndarray) -> Column:
+    """Index of the closest centre, as plain column arithmetic."""
+    distances = F.array(
+        *[
+            sum(((F.col(c) - F.lit(float(v))) ** 2 for c, v in zip(SCALED, centre)), F.lit(0.0))
+            for centre in centres
+        ]
+    )
+    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
 
 
 def kmeans_segments(rfm: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS) -> DataFrame:
-    return assign_clusters(rfm, k, restarts).select(
-        "CustomerID", *MEASURES, F.col("prediction").alias("Cluster")
-    )
+    points = scaled_points(rfm)
+    _, centres = fit_models(points, [k], restarts)[k]
+    return points.select("CustomerID", *MEASURES, nearest_centre(centres).alias("Cluster"))
 
 
 def cluster_profiles(segments: DataFrame) -> DataFrame:
@@ -127,7 +197,8 @@ def kmeans_profiles(rfm: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS)
 
 def rfm_pca(rfm: DataFrame) -> DataFrame:
     """Two components per customer and the share of variance each explains."""
-    vectors = feature_vectors(rfm)
+    assembler = VectorAssembler(inputCols=SCALED, outputCol="features")
+    vectors = assembler.transform(scaled_points(rfm))
     model = PCA(k=2, inputCol="features", outputCol="projected").fit(vectors)
     shares = [float(x) for x in model.explainedVariance]
     xy = vector_to_array("projected")

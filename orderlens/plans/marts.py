@@ -9,12 +9,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from orderlens.functions.times import year_month
 from orderlens.operators import cleaning, dashboard, features, rfm, star
 from orderlens.plans.inputs import Inputs
 from orderlens.sources.files import read_mart, write_mart
 
 FACT = "fact_transactions"
+RAW = "raw_lines"
 SALES = "sales_lines"
 WITH_CANCELLATIONS = "lines_with_cancellations"
 
@@ -32,15 +32,9 @@ def build_star(raw: DataFrame, folder: str, form: str = "parquet") -> None:
 
 
 def build_line_marts(raw: DataFrame, folder: str) -> None:
-    """Write the two other line populations, also by month."""
-    by_month = {"YearMonth": year_month("InvoiceDate")}
-    write_mart(cleaning.clean_sales(raw).withColumns(by_month), folder, SALES, ["YearMonth"])
-    write_mart(
-        cleaning.lines_with_cancellations(raw).withColumns(by_month),
-        folder,
-        WITH_CANCELLATIONS,
-        ["YearMonth"],
-    )
+    """Write the two other line populations; their reports always read all months."""
+    write_mart(cleaning.clean_sales(raw), folder, SALES)
+    write_mart(cleaning.lines_with_cancellations(raw), folder, WITH_CANCELLATIONS)
 
 
 def build_customer_marts(sales: DataFrame, folder: str, form: str = "parquet") -> None:
@@ -50,16 +44,20 @@ def build_customer_marts(sales: DataFrame, folder: str, form: str = "parquet") -
 
 @dataclass
 class StoredInputs(Inputs):
-    """Query inputs read from stored marts; raw lines still come from the source."""
+    """Query inputs read from stored marts."""
 
     marts: str
 
     def _stored(self, name: str) -> DataFrame:
         return read_mart(self.spark, self.marts, name)
 
+    @cached_property
+    def raw(self) -> DataFrame:
+        return self._stored(RAW)
+
     @cached_property
     def sales(self) -> DataFrame:
-        return self._stored(SALES).drop("YearMonth")
+        return self._stored(SALES)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -67,7 +65,7 @@ class StoredInputs(Inputs):
 
     @cached_property
     def with_cancellations(self) -> DataFrame:
-        return self._stored(WITH_CANCELLATIONS).drop("YearMonth")
+        return self._stored(WITH_CANCELLATIONS)
 
     @cached_property
     def customers(self) -> DataFrame:
