@@ -76,13 +76,12 @@ def quantiles(counts: DataFrame, points: Mapping[str, float], group: Sequence[st
 
     One row per group (one row in all without groups), one column per name in ``points``.
     """
-    if not group:
-        return quantiles(
-            counts.withColumn("_all", F.lit(0)), points, ["_all"]
-        ).drop("_all")
-    # One row per group; groups are few by contract (segments, column names).
-    sizes = counts.groupBy(*group).agg(F.max("upto").alias("_rows"))
-    rows = counts.join(F.broadcast(sizes), list(group))
+    size = F.max("upto").alias("_rows")
+    if group:
+        # One row per group; groups are few by contract (segments, column names).
+        rows = counts.join(F.broadcast(counts.groupBy(*group).agg(size)), list(group))
+    else:
+        rows = counts.withColumn("_rows", counts.agg(size).scalar())
 
     picks = []
     for name, q in points.items():
