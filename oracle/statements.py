@@ -101,7 +101,9 @@ def kpi() -> str:
 def profile_bodies() -> dict[str, str]:
     return {
         "schema_check": union([
-            f"""SELECT '{c}' AS "column", 'ok' AS status, true AS order_ok""" for c in COLUMNS
+            f"""SELECT '{c}' AS "column", 'ok' AS status, true AS order_ok,
+  count(*) - count({c}) AS nulls FROM raw_lines"""
+            for c in COLUMNS
         ]),
         "etl_audit": """
 SELECT (SELECT count(*) FROM raw_lines) AS input_rows,

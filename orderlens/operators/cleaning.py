@@ -130,12 +130,20 @@ def etl_audit(raw: DataFrame) -> DataFrame:
 
 
 def schema_check(df: DataFrame, expected: Sequence[str] = LINE_COLUMNS) -> DataFrame:
-    """column, status (ok, missing, extra) and whether the order is the expected one."""
+    """column, status (ok, missing, extra), whether the order is the expected one, and the number
+    of missing values."""
     found = df.columns
-    rows = [(c, "ok" if c in found else "missing") for c in expected]
-    rows += [(c, "extra") for c in found if c not in expected]
+    status = {c: "ok" if c in found else "missing" for c in expected}
+    status |= {c: "extra" for c in found if c not in expected}
     in_order = [c for c in found if c in expected] == [c for c in expected if c in found]
-    return df.sparkSession.createDataFrame(
-        [(c, status, in_order) for c, status in rows],
-        "column string, status string, order_ok boolean",
-    )
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in found])
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(s).alias("status"),
+            F.lit(in_order).alias("order_ok"),
+            (F.col(c) if c in found else F.lit(None).cast("bigint")).alias("nulls"),
+        )
+        for c, s in status.items()
+    ]
+    return nulls.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -62,10 +62,12 @@ def test_audit_adds_up(raw):
 
 def test_schema_check_reports_missing_extra_and_order(raw):
     odd = raw.drop("Country").withColumn("Note", F.lit(1)).select("StockCode", "InvoiceNo", "Note")
-    got = {r["column"]: (r["status"], r["order_ok"]) for r in cleaning.schema_check(odd).collect()}
-    assert got["Country"] == ("missing", False)
-    assert got["Note"] == ("extra", False)
-    assert got["StockCode"] == ("ok", False)
+    got = {r["column"]: tuple(r)[1:] for r in cleaning.schema_check(odd).collect()}
+    assert got["Country"] == ("missing", False, None)
+    assert got["Note"] == ("extra", False, 0)
+    assert got["StockCode"] == ("ok", False, 0)
+    nulls = {r["column"]: r["nulls"] for r in cleaning.schema_check(raw).collect()}
+    assert (nulls["CustomerID"], nulls["UnitPrice"], nulls["Country"]) == (2, 1, 0)
     assert all(r["order_ok"] for r in cleaning.schema_check(raw).collect())
 
 
