@@ -57,7 +57,7 @@ FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n,
     ])
 
 
-def correlation(table: str, columns: list[str], extra: str = "r") -> str:
+def correlation(table: str, columns: list[str]) -> str:
     return union([
         f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, "
         f"CASE WHEN isnan(corr({a}, {b})) THEN NULL ELSE corr({a}, {b}) END AS r FROM {table}"
@@ -318,7 +318,7 @@ FROM sales, fence WHERE TotalAmount < lower_fence OR TotalAmount > upper_fence""
 SELECT feature_a, feature_b, round(r, 6) AS r FROM ({correlation('seven', SEVEN)})
 WHERE r IS NOT NULL ORDER BY abs(r) DESC, feature_a, feature_b LIMIT 5""",
         "product_pairs": """
-WITH_LOCAL SELECT a.Description AS item_a, b.Description AS item_b, count(*) AS n
+SELECT a.Description AS item_a, b.Description AS item_b, count(*) AS n
 FROM basket a JOIN basket b ON a.InvoiceNo = b.InvoiceNo AND a.Description < b.Description
 GROUP BY 1, 2 ORDER BY n DESC, item_a, item_b LIMIT 20""",
     }
@@ -427,5 +427,5 @@ def statements() -> dict[str, str]:
         if body.startswith("WITH "):
             done[name] = body
         else:
-            done[name] = with_ctes(body.replace("WITH_LOCAL", ""), BASKET)
+            done[name] = with_ctes(body, BASKET)
     return done

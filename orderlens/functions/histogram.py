@@ -1,7 +1,5 @@
 """Equal-width histograms."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
