@@ -4,25 +4,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.llm.decontamination import contaminated
+from orderlens.llm.jaccard import document_components
 from orderlens.llm.language import language_digest
 from orderlens.llm.packing import packing_digest
 from orderlens.llm.pii import pii_digest
 from orderlens.llm.secrets import secret_digest
 from orderlens.llm.tables import table
 from orderlens.llm.token_files import token_file_digest
+from orderlens.llm.urls import judge
 
 
-def over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: operator(table(spark, sf_dir, "documents"))
+def over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(table(spark, sf_dir, name))
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_packing": over_documents(packing_digest),
-        "op2_secrets": over_documents(secret_digest),
-        "op3_token_files": over_documents(token_file_digest),
-        "op4_language": over_documents(language_digest),
-        "op6_pii": over_documents(pii_digest),
+        "op1_packing": over("documents", packing_digest),
+        "op2_secrets": over("documents", secret_digest),
+        "op3_token_files": over("documents", token_file_digest),
+        "op4_language": over("documents", language_digest),
+        "op5_decontamination": decontamination,
+        "op6_pii": over("documents", pii_digest),
+        "op9_urls": over("pages", judge),
+        "op10_jaccard": over("documents", lambda docs: document_components(docs, 3, 90)),
     }
 
 
