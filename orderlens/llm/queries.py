@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm.decontamination import contaminated
+from orderlens.llm.edit_fingerprints import fingerprint_digest
 from orderlens.llm.jaccard import document_components
 from orderlens.llm.language import language_digest
 from orderlens.llm.packing import packing_digest
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language": over("documents", language_digest),
         "op5_decontamination": decontamination,
         "op6_pii": over("documents", pii_digest),
+        "op7_edit_fingerprints": over("documents", fingerprint_digest),
         "op9_urls": over("pages", judge),
         "op10_jaccard": over("documents", lambda docs: document_components(docs, 3, 90)),
     }

@@ -26,7 +26,7 @@ from orderlens.llm.tokens import VOCABULARY, WordTokenizer
 END_ID = 2
 
 #: Characters of text in a block, one document at least: bounds the memory of writer and reader.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 20
 
 RAW_SCHEMA = "part int, block int, before long, doc_ids array<long>, counts array<long>, ids binary"
 SHARD_SCHEMA = RAW_SCHEMA.replace("ids binary", "control binary, data binary")
@@ -114,10 +114,12 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, vocabu
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            coded = [encode_ranks(ranks[np.frombuffer(ids.as_buffer(), "<u4")]) for ids in batch.column("ids")]
-            columns = [batch.column(c) for c in ("part", "block", "before", "doc_ids", "counts")]
-            columns += [pa.array([c[k] for c in coded], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, ["part", "block", "before", "doc_ids", "counts", "control", "data"])
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                control, data = encode_ranks(ranks[np.frombuffer(row.column("ids")[0].as_buffer(), "<u4")])
+                columns = [row.column(c) for c in ("part", "block", "before", "doc_ids", "counts")]
+                columns += [pa.array([control], pa.binary()), pa.array([data], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "block", "before", "doc_ids", "counts", "control", "data"])
 
     table = [(int(i), int(r)) for i, r in enumerate(ranks)]
     spark.createDataFrame(table, "id int, rank int").coalesce(1).write.parquet(f"{folder}/ranks")
@@ -132,7 +134,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 counts = np.array(row["counts"], np.int64)
                 ids = id_of[decode_ranks(row["control"], row["data"], int(counts.sum()))].astype("<u4")
                 ends = np.cumsum(counts)

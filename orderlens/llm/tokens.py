@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Words kept per task before the lookup tables are emptied and filled anew; bounds their memory.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 400_000
 
 #: Every blank of Unicode besides the space and the line feed.
 OTHER_BLANKS = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -80,24 +80,27 @@ class WordTokenizer:
 
     def run_ids(self, run: str) -> bytes:
         """Ids of one run of letters, digits or signs: nothing is left to cut before the merges."""
+        if run.isascii():
+            signs = run.replace(" ", "Ġ").replace("\n", "Ċ")
+        else:
+            signs = run.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return array("I", [t.id for t in self.merges.tokenize(signs)]).tobytes()
+
+    def kept_run_ids(self, run: str) -> bytes:
         if (ids := self.runs.get(run)) is None:
-            if run.isascii():
-                signs = run.replace(" ", "Ġ").replace("\n", "Ċ")
-            else:
-                signs = run.encode().decode("latin-1").translate(BYTE_SIGNS)
-            ids = self.runs[run] = array("I", [t.id for t in self.merges.tokenize(signs)]).tobytes()
+            ids = self.runs[run] = self.run_ids(run)
         return ids
 
     def word_ids(self, word: str) -> bytes:
+        if LETTERS.fullmatch(word):
+            return self.run_ids(" " + word)
         text = word[1:] if word[:1] == " " else " " + word
         body = text.removeprefix(" ")
-        if LETTERS.fullmatch(word):
-            return self.run_ids(text)
         if PLAIN.fullmatch(body):
             runs = RUN.findall(body)
             if body is not text:
                 runs[0] = " " + runs[0]
-            return b"".join(map(self.run_ids, runs))
+            return b"".join(map(self.kept_run_ids, runs))
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def learn(self, words: list[str]) -> None:
