@@ -49,6 +49,11 @@ def shingles(words: str, width: int) -> str:
         transform(sequence(1, size({words}) - {width - 1}), i -> xxhash64(slice({words}, i, {width}))))"""
 
 
+def once(value: Column, name: str) -> Column:
+    """``value`` as a generated column: it is computed once per row and never inlined elsewhere."""
+    return F.explode(F.array(value)).alias(name)
+
+
 def simhash(window: str, size: Column) -> Column:
     """A bit is set where more than half of the window's shingles have it."""
     out = F.lit(0).cast("long")
@@ -79,10 +84,10 @@ def scan(docs: DataFrame, items: DataFrame, step: int, percent: int, radius: int
     """(doc_id, item_id, similarity) for items with ``step`` words per shingle, in one scan of ``docs``."""
     spread = stored(items.select("item_id", "size", F.explode("shingles").alias("shingle")))
     asked = ", ".join(f"{row[0]}L" for row in spread.select("shingle").distinct().collect())
-    rows = docs.select(F.col("doc_id").cast("long"), word_hashes(F.col("text")).alias("words"))
-    rows = rows.select("doc_id", F.expr(shingles("words", step)).alias("shingles"))
+    rows = docs.select(F.col("doc_id").cast("long"), once(word_hashes(F.col("text")), "words"))
+    rows = rows.select("doc_id", once(F.expr(shingles("words", step)), "shingles"))
     hits = f"filter(transform(shingles, (x, i) -> struct(i AS place, x AS shingle)), h -> h.shingle IN ({asked}))"
-    rows = rows.select("doc_id", "shingles", F.expr(hits).alias("hits")).where("size(hits) > 0")
+    rows = rows.select("doc_id", "shingles", once(F.expr(hits), "hits")).where("size(hits) > 0")
     found = stored(rows.withColumn("row", F.monotonically_increasing_id()))
 
     # Windows: as long as the item, or the whole document; its first fifth holds a shared shingle.
@@ -94,7 +99,7 @@ def scan(docs: DataFrame, items: DataFrame, step: int, percent: int, radius: int
     low = F.least(F.greatest(F.col("place") - slack, F.lit(0)), last)
     starts = starts.select("row", "size", F.explode(F.sequence(low, F.least("place", last))).alias("start")).distinct()
     cut = F.expr("slice(shingles, start + 1, size)")
-    windows = starts.join(found.select("row", "shingles"), "row").select("row", "size", "start", cut.alias("window"))
+    windows = starts.join(found.select("row", "shingles"), "row").select("row", "size", "start", once(cut, "window"))
     prints = windows.select("row", "size", "start", F.size("window").alias("taken"), simhash("window", F.size("window")).alias("fingerprint"))
     of_items = items.select("item_id", "size", simhash("shingles", F.col("size")).alias("item_print"))
     left = prints.select("*", blocks("fingerprint", radius))
