@@ -11,6 +11,7 @@ from orderlens.llm.language import language_digest
 from orderlens.llm.packing import packing_digest
 from orderlens.llm.pii import pii_digest
 from orderlens.llm.secrets import secret_digest
+from orderlens.llm.suffix_dedup import suffix_digest
 from orderlens.llm.tables import table
 from orderlens.llm.token_files import token_file_digest
 from orderlens.llm.urls import judge
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_decontamination": decontamination,
         "op6_pii": over("documents", pii_digest),
         "op7_edit_fingerprints": over("documents", fingerprint_digest),
+        "op8_suffix_dedup": over("documents", suffix_digest),
         "op9_urls": over("pages", judge),
         "op10_jaccard": over("documents", lambda docs: document_components(docs, 3, 90)),
     }
