@@ -265,12 +265,12 @@ SELECT CustomerID, x AS revenue,
        '(SELECT sum(CAST(x AS DECIMAL(28,4))) FROM custrev)')} AS cum_pct,
   {pct('row_number() OVER (ORDER BY x DESC, CustomerID)', '(SELECT count(*) FROM custrev)')} AS pct_customers
 FROM custrev"""
-    wide = ", ".join(f'max(CASE WHEN CohortIndex = {i} THEN retention_pct END) AS "{i}"' for i in range(10))
+    wide = ", ".join(f'max(CASE WHEN CohortIndex = {i} THEN retention_pct END) AS "{i}"' for i in range(80))
     return {
         "executive_kpis": kpi(),
         "cohort_counts": "SELECT * FROM cohorts",
         "cohort_retention": "SELECT * FROM retention",
-        "cohort_matrix": f"SELECT CohortMonth, {wide} FROM retention GROUP BY CohortMonth ORDER BY CohortMonth LIMIT 10",
+        "cohort_matrix": f"SELECT CohortMonth, {wide} FROM retention GROUP BY CohortMonth",
         "clv_hist": histogram("SELECT x FROM custrev WHERE x <= (SELECT quantile_cont(x, 0.99) FROM custrev)", 50),
         "clv_stats": f"SELECT round(quantile_cont(x, 0.5), 6) AS median, round({mean('x')}, 6) AS mean FROM custrev",
         "revenue_vs_orders": """
@@ -317,18 +317,24 @@ FROM sales, fence WHERE TotalAmount < lower_fence OR TotalAmount > upper_fence""
         "top_correlations": f"""
 SELECT feature_a, feature_b, round(r, 6) AS r FROM ({correlation('seven', SEVEN)})
 WHERE r IS NOT NULL ORDER BY abs(r) DESC, feature_a, feature_b LIMIT 5""",
-        "product_pairs": """
-SELECT a.Description AS item_a, b.Description AS item_b, count(*) AS n
-FROM basket a JOIN basket b ON a.InvoiceNo = b.InvoiceNo AND a.Description < b.Description
-GROUP BY 1, 2 ORDER BY n DESC, item_a, item_b LIMIT 20""",
+        "product_pairs": pairs_of("basket"),
+        "product_pairs_first10": pairs_of("basket10"),
     }
 
 
+def pairs_of(basket: str) -> str:
+    return f"""
+SELECT a.Description AS item_a, b.Description AS item_b, count(*) AS n
+FROM {basket} a JOIN {basket} b ON a.InvoiceNo = b.InvoiceNo AND a.Description < b.Description
+GROUP BY 1, 2 ORDER BY n DESC, item_a, item_b LIMIT 20"""
+
+
 BASKET = {
-    "basket": """
+    "basket": "SELECT DISTINCT InvoiceNo, Description FROM sales WHERE Description IS NOT NULL",
+    "basket10": """
 SELECT InvoiceNo, Description FROM (
   SELECT InvoiceNo, Description, row_number() OVER (PARTITION BY InvoiceNo ORDER BY Description) AS place
-  FROM (SELECT DISTINCT InvoiceNo, Description FROM sales WHERE Description IS NOT NULL)) WHERE place <= 10"""
+  FROM basket) WHERE place <= 10""",
 }
 
 

@@ -3,21 +3,29 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Double sums depend on the order of the rows; sums of this type do not, so totals, ranks
-# built on them and re-run tasks always agree.
-EXACT = "decimal(28,4)"
+# Double sums depend on the order of the rows; sums of decimals do not, so totals, ranks built on
+# them and re-run tasks always agree. Money has four decimals; pass a larger scale for finer values.
+MONEY_SCALE = 4
+EXACT = f"decimal(28,{MONEY_SCALE})"
 
 
 def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c: Column | str) -> Column:
-    return F.sum(as_column(c).cast(EXACT)).cast("double")
+def counted(c: Column | str) -> Column:
+    """The value, or null where it is missing or not a number."""
+    c = as_column(c)
+    return F.when(~F.isnan(c.cast("double")), c)
+
+
+def exact_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """Sum of the values rounded to ``scale`` decimals; not-a-number counts as missing."""
+    return F.sum(counted(c).cast(f"decimal({24 + scale},{scale})")).cast("double")
 
 
-def exact_mean(c: Column | str) -> Column:
-    return F.try_divide(exact_sum(c), F.count(as_column(c)).cast("double"))
+def exact_mean(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    return F.try_divide(exact_sum(c, scale), F.count(counted(c)).cast("double"))
 
 
 def percent(part: Column | str, whole: Column | str) -> Column:

@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 DAYS_PER_MONTH = 30.44
 
 
+# Layouts of dates in order files besides ISO ones.
+LAYOUTS = ["M/d/yyyy H:mm[:ss]", "M/d/yyyy"]
+
+
 def parse_invoice_date(c: Column) -> Column:
-    """Both layouts found in order files; unreadable text becomes null."""
-    return F.coalesce(F.try_to_timestamp(c), F.try_to_timestamp(c, F.lit("M/d/yyyy H:mm")))
+    """ISO dates and times, or month first with or without seconds or time; else null."""
+    return F.coalesce(F.try_to_timestamp(c), *[F.try_to_timestamp(c, F.lit(x)) for x in LAYOUTS])
 
 
 def whole_days(start: Column, end: Column) -> Column:

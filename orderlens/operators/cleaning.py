@@ -131,7 +131,7 @@ def etl_audit(raw: DataFrame) -> DataFrame:
 
 def schema_check(df: DataFrame, expected: Sequence[str] = LINE_COLUMNS) -> DataFrame:
     """column, status (ok, missing, extra), whether the order is the expected one, and the number
-    of missing values."""
+    of missing values. For a CSV file pass ``read_text_csv``: the header as it is, nothing typed."""
     found = df.columns
     status = {c: "ok" if c in found else "missing" for c in expected}
     status |= {c: "extra" for c in found if c not in expected}

@@ -2,7 +2,7 @@
 
 The elbow needs nine cluster counts with ten restarts each. All ninety models move together: one
 pass over the customers assigns each of them in every model, adds up per task, and only the sums
-(a row per centre) are shuffled and brought to the driver. Converged models drop out of the pass.
+(a row per centre) are shuffled and brought to the driver. All customers take part in the seeding. Converged models drop out of the pass.
 """
 
 from collections.abc import Iterable, Iterator, Sequence
@@ -25,7 +25,6 @@ SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4
-SEEDING_ROWS = 10_000
 
 # Cluster names by falling mean revenue.
 CLUSTER_LABELS = ["Champions", "Loyal Customers", "At Risk", "New/Casual"]
@@ -53,16 +52,42 @@ def scaled_points(rfm: DataFrame) -> DataFrame:
     return durable(rfm.join(rfm_scaled(rfm), "CustomerID").select("CustomerID", *MEASURES, *SCALED))
 
 
-def seed_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++: each next centre drawn with probability by squared distance to the nearest."""
-    centres = [sample[rng.integers(len(sample))]]
-    nearest = np.full(len(sample), np.inf)
-    while len(centres) < k:
-        nearest = np.minimum(nearest, ((sample - centres[-1]) ** 2).sum(axis=1))
-        total = nearest.sum()
-        weights = nearest / total if total > 0 else None
-        centres.append(sample[rng.choice(len(sample), p=weights)])
-    return np.array(centres)
+def uniform(ids: np.ndarray, restart: int, step: int) -> np.ndarray:
+    """A number in (0, 1) per customer, restart and step, from plain integer arithmetic."""
+    x = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((SEED + restart) * 1_000_003 + step)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54
+
+
+def seed_centres(points: DataFrame, k: int, restarts: int) -> list[np.ndarray]:
+    """k-means++ over all rows, for all restarts together: one pass per centre.
+
+    The row with the least -ln(u) / d2 is a draw with probability by d2, the squared distance to the
+    nearest centre so far; each task sends its best row per restart.
+    """
+    centres = [np.empty((0, len(SCALED))) for _ in range(restarts)]
+    for step in range(k):
+
+        def draw(batches: Iterator[pd.DataFrame], step=step, centres=centres) -> Iterator[pd.DataFrame]:
+            best: dict[int, tuple[float, int, list[float]]] = {}
+            for batch in batches:
+                ids, x = batch["CustomerID"].to_numpy(), batch[SCALED].to_numpy(dtype=float)
+                if not len(ids):
+                    continue
+                for r, chosen in enumerate(centres):
+                    near = ((x[:, None, :] - chosen[None]) ** 2).sum(axis=2).min(axis=1) if step else 1.0
+                    # Rows on a centre are drawn only when no others are left.
+                    key = -np.log(uniform(ids, r, step)) / np.maximum(near, 1e-300)
+                    at = np.lexsort((ids, key))[0]
+                    best[r] = min(best.get(r, (np.inf, 0, [])), (float(key[at]), int(ids[at]), x[at].tolist()))
+            yield pd.DataFrame([(r, *b) for r, b in best.items()], columns=["restart", "draw", "id", "point"])
+
+        drawn = points.select("CustomerID", *SCALED).mapInPandas(draw, "restart int, draw double, id long, point array<double>")
+        first = drawn.groupBy("restart").agg(F.min_by("point", F.struct("draw", "id")).alias("point")).collect()
+        for row in first:
+            centres[row["restart"]] = np.vstack([centres[row["restart"]], row["point"]])
+    return centres
 
 
 def _sums_per_centre(models: Sequence[np.ndarray]):
@@ -77,13 +102,13 @@ def _sums_per_centre(models: Sequence[np.ndarray]):
         for batch in batches:
             x = batch.to_numpy(dtype=float)
             distance = (x**2).sum(axis=1)[:, None] - 2 * x @ stacked.T + squares
-            rows = np.column_stack([np.ones(len(x)), np.zeros(len(x)), x])
             for start, size in zip(starts, sizes):
                 part = distance[:, start : start + size]
                 label = part.argmin(axis=1)
-                rows[:, 1] = np.maximum(part[np.arange(len(x)), label], 0.0)
-                one_hot = np.eye(size)[label]
-                totals[start : start + size] += one_hot.T @ rows
+                cost = np.maximum(part[np.arange(len(x)), label], 0.0)
+                columns = [None, cost, *x.T]
+                for i, column in enumerate(columns):
+                    totals[start : start + size, i] += np.bincount(label, column, size)
         used = np.flatnonzero(totals[:, 0])
         yield pd.DataFrame({"centre": used, "sums": list(totals[used])})
 
@@ -94,26 +119,18 @@ def fit_models(
     points: DataFrame, ks: Iterable[int], restarts: int = RESTARTS
 ) -> dict[int, tuple[float, np.ndarray]]:
     """Per k the least cost and its centres over all restarts."""
-    values = points.select(*SCALED).persist()
+    ks = list(ks)
+    values = points.select("CustomerID", *SCALED).persist()
     try:
-        # Seeding looks at a bounded sample in hash order; the fit itself uses every customer.
-        sample = (
-            points.orderBy(F.xxhash64("CustomerID", F.lit(SEED)))
-            .limit(SEEDING_ROWS)
-            .select(*SCALED)
-            .toPandas()
-            .to_numpy(dtype=float)
-        )
-        active = {
-            (k, r): seed_centres(sample, k, np.random.default_rng(SEED + r))
-            for k in ks
-            for r in range(restarts)
-        }
+        # A model of fewer clusters starts from the first centres of its restart.
+        seeds = seed_centres(values, max(ks), restarts)
+        active = {(k, r): seeds[r][:k] for k in ks for r in range(restarts)}
         done: dict[tuple[int, int], tuple[float, np.ndarray]] = {}
         for iteration in range(MAX_ITERATIONS):
             keys, models = list(active), list(active.values())
             sums = (
-                values.mapInPandas(_sums_per_centre(models), "centre long, sums array<double>")
+                values.select(*SCALED)
+                .mapInPandas(_sums_per_centre(models), "centre long, sums array<double>")
                 .groupBy("centre")
                 .agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(2 + len(SCALED))])
                 .collect()  # one row per centre

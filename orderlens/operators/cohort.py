@@ -40,11 +40,13 @@ def cohort_retention(
     return retention
 
 
-def cohort_matrix(sales: DataFrame, rows: int = 10, cols: int = 10) -> DataFrame:
-    """Wide form of the trimmed retention table, one column per month since purchase."""
-    return (
-        cohort_retention(sales, rows, cols)
-        .groupBy("CohortMonth")
-        .pivot("CohortIndex", list(range(cols)))
-        .agg(F.first("retention_pct"))
-    )
+def cohort_matrix(sales: DataFrame, rows: int | None = None, cols: int | None = None) -> DataFrame:
+    """Wide form of the retention table, one column per month since purchase; all by default.
+
+    Only the number of the last month reaches the driver, to name the columns.
+    """
+    retention = cohort_retention(sales, rows, cols)
+    if cols is None:
+        last = retention.agg(F.max("CohortIndex")).first()[0]
+        cols = 0 if last is None else last + 1
+    return retention.groupBy("CohortMonth").pivot("CohortIndex", list(range(cols))).agg(F.first("retention_pct"))

@@ -141,6 +141,7 @@ ADVANCED: dict[str, Query] = {
     "feature_corr_7": lambda i: shown(correlation.feature_corr_7(i.sales)),
     "top_correlations": lambda i: shown(correlation.top_correlations(i.sales)),
     "product_pairs": lambda i: basket.product_pairs(i.sales),
+    "product_pairs_first10": lambda i: basket.product_pairs(i.sales, max_items=10),
 }
 
 DASHBOARD: dict[str, Query] = {

@@ -16,15 +16,6 @@ RAW_LINES = T.StructType(
 )
 LINE_COLUMNS = RAW_LINES.fieldNames()
 
-# As it stands in a file: dates in more than one layout, customer ids written as floats.
-CSV_LINES = T.StructType(
-    [
-        T.StructField(f.name, f.dataType)
-        if f.name not in ("InvoiceDate", "CustomerID")
-        else T.StructField(f.name, T.StringType() if f.name == "InvoiceDate" else T.DoubleType())
-        for f in RAW_LINES
-    ]
-)
 CSV_ENCODING = "ISO-8859-1"
 
 DUPLICATE_KEYS = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate"]

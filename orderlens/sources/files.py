@@ -2,22 +2,71 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions.times import parse_invoice_date
-from orderlens.schema import CSV_ENCODING, CSV_LINES, LINE_COLUMNS
+from orderlens.schema import CSV_ENCODING, LINE_COLUMNS
 
+# Quotes inside a quoted field are doubled, as other tools write and read them.
+CSV_FORM = {"header": True, "quote": '"', "escape": '"'}
 
-def read_lines_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Order lines from CSV; declared types, so the file is read once and columns pruned."""
-    raw = spark.read.csv(path, schema=CSV_LINES, header=True, encoding=CSV_ENCODING)
-    return raw.withColumns(
-        {
-            "InvoiceDate": parse_invoice_date(F.col("InvoiceDate")),
-            "CustomerID": F.col("CustomerID").cast("bigint"),
-        }
-    ).select(*LINE_COLUMNS)
+
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file as it is: every field as text under its name in the header.
+
+    ``multi_line`` allows line breaks inside quotes; such a file is read by one task, so leave it
+    off for large files without them.
+    """
+    return spark.read.csv(path, encoding=CSV_ENCODING, multiLine=multi_line, **CSV_FORM)
+
+
+def line_fields(found: Sequence[str]) -> dict[str, Column]:
+    """Typed order-line columns from text columns ``found`` by name; a missing column is null."""
+
+    def field(name: str) -> Column:
+        return F.col(name) if name in found else F.lit(None).cast("string")
+
+    def number(name: str) -> Column:
+        value = field(name).try_cast("double")
+        return F.when(~F.isnan(value), value)
+
+    def whole(name: str, form: str) -> Column:
+        value = number(name)
+        return F.when(value == F.floor(value), F.coalesce(field(name).try_cast(form), value.try_cast(form)))
+
+    typed = {
+        "Quantity": whole("Quantity", "bigint"),
+        "InvoiceDate": parse_invoice_date(field("InvoiceDate")),
+        "UnitPrice": number("UnitPrice"),
+        "CustomerID": whole("CustomerID", "bigint"),
+    }
+    return {c: typed.get(c, field(c)) for c in LINE_COLUMNS}
+
+
+def typed_lines(text: DataFrame) -> DataFrame:
+    """Order lines from text columns found by name, in any order.
+
+    Fields that cannot be read and ``NaN`` become null; ``unreadable_fields`` counts the former.
+    """
+    return text.select(*[value.alias(name) for name, value in line_fields(text.columns).items()])
+
+
+def unreadable_fields(text: DataFrame) -> DataFrame:
+    """column, n: fields per column that hold text but neither a value nor ``NaN``."""
+
+    def lost(name: str, value: Column) -> Column:
+        return F.count_if(F.col(name).isNotNull() & (F.lower(F.trim(F.col(name))) != "nan") & value.isNull())
+
+    fields = {c: v for c, v in line_fields(text.columns).items() if c in text.columns}
+    counts = text.agg(*[lost(c, v).alias(c) for c, v in fields.items()])
+    rows = [F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in fields]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def read_lines_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Order lines from CSV, by header name."""
+    return typed_lines(read_text_csv(spark, path, multi_line))
 
 
 def read_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,7 +82,7 @@ def write_mart(
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
     if form == "csv":
-        writer.csv(f"{folder}/{name}", header=True)
+        writer.csv(f"{folder}/{name}", **CSV_FORM)
     else:
         writer.parquet(f"{folder}/{name}")
 

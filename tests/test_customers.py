@@ -82,6 +82,7 @@ def test_cohorts_and_new_customers(sales):
     base = cohort.cohort_retention(sales).filter("CohortIndex = 0")
     assert {r["retention_pct"] for r in base.collect()} == {100.0}
     assert cohort.cohort_retention(sales, rows=1, cols=1).count() == 1
+    assert cohort.cohort_matrix(sales).columns == ["CohortMonth", "0", "1", "2"]
     assert cohort.cohort_matrix(sales, 2, 3).columns == ["CohortMonth", "0", "1", "2"]
     assert rows(customers.new_vs_returning(sales)) == [
         ("2011-01", 1, 0), ("2011-02", 1, 0), ("2011-03", 1, 2)]

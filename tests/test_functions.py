@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions.histogram import histogram
-from orderlens.functions.numeric import exact_sum, sample_kurtosis, sample_skewness
+from orderlens.functions.numeric import exact_mean, exact_sum, sample_kurtosis, sample_skewness
 from orderlens.functions.ordering import quantiles, running_totals, value_counts
 from orderlens.functions.text import title_case
 from orderlens.functions.times import parse_invoice_date, whole_days
@@ -108,3 +108,9 @@ def test_histogram_clips_filters_and_weights(spark):
     kept = histogram(df, "x", 2, keep_below=F.lit(5.0)).orderBy("bin").collect()
     assert [(r["n"], r["hi"]) for r in kept] == [(1, 1.5), (1, 2.0)]
     assert histogram(df.filter("x > 99"), "x", 2).count() == 0
+
+
+def test_exact_means_skip_missing_numbers_and_keep_decimals(spark):
+    df = spark.createDataFrame([(0.000012,), (0.000014,), (float("nan"),), (None,)], "x double")
+    row = df.agg(exact_mean("x", 6).alias("m"), exact_sum("x", 6).alias("s")).first()
+    assert (round(row["m"], 9), round(row["s"], 9)) == (0.000013, 0.000026)

@@ -28,6 +28,50 @@ def test_csv_in_latin_1_with_float_customers(spark, tmp_path):
     ]
 
 
+HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+
+
+def lines_of(spark, tmp_path, text, **options):
+    path = tmp_path / "lines.csv"
+    path.write_bytes(text.encode("latin-1"))
+    return files.read_lines_csv(spark, str(path), **options)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    text = "StockCode,InvoiceNo,Quantity,UnitPrice,CustomerID,Country,InvoiceDate\nA,1,6,2.5,7,X,1/3/2011 10:30:15\n"
+    assert rows(lines_of(spark, tmp_path, text)) == [("1", "A", None, 6, datetime(2011, 1, 3, 10, 30, 15), 2.5, 7, "X")]
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    text = HEADER + '1,A,"12"" RULER, STEEL",6,1/3/2011,2.5,7,X\n2,B,"two\nlines",1,2011-01-03,1.0,8,X\n'
+    found = rows(lines_of(spark, tmp_path, text, multi_line=True), "Description", "CustomerID", "InvoiceDate")
+    assert found == [('12" RULER, STEEL', 7, datetime(2011, 1, 3)), ("two\nlines", 8, datetime(2011, 1, 3))]
+
+
+def test_csv_bad_fields_are_null_and_counted(spark, tmp_path):
+    text = HEADER + "1,A,x,six,1/3/2011 9:05,NaN,NaN,X\n2,B,y,7,soon,1.5,12.5,X\n"
+    df = lines_of(spark, tmp_path, text)
+    assert rows(df, "Quantity", "UnitPrice", "CustomerID") == [(7, 1.5, None), (None, None, None)]
+    lost = files.unreadable_fields(files.read_text_csv(spark, str(tmp_path / "lines.csv")))
+    assert {r["column"]: r["n"] for r in lost.collect() if r["n"]} == {"Quantity": 1, "InvoiceDate": 1, "CustomerID": 1}
+
+
+def test_schema_check_of_a_file(spark, tmp_path):
+    (tmp_path / "lines.csv").write_text("StockCode,InvoiceNo,Note\nA,1,\n")
+    found = cleaning.schema_check(files.read_text_csv(spark, str(tmp_path / "lines.csv"))).collect()
+    status = {r["column"]: (r["status"], r["order_ok"], r["nulls"]) for r in found}
+    assert status["StockCode"] == ("ok", False, 0)
+    assert status["Note"] == ("extra", False, 1)
+    assert status["Country"] == ("missing", False, None)
+
+
+def test_csv_round_trip(spark, tmp_path):
+    data = [('a "quoted", name', 1.5), (None, None), ("comma, end", 0.25)]
+    files.write_mart(spark.createDataFrame(data, "name string, x double"), str(tmp_path), "t", form="csv")
+    assert rows(files.read_text_csv(spark, f"{tmp_path}/t"), "name", "x") == sorted(
+        [('a "quoted", name', "1.5"), (None, None), ("comma, end", "0.25")], key=lambda r: (r[0] is None, str(r[0])))
+
+
 @pytest.fixture(scope="module")
 def store(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("marts"))
