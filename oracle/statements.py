@@ -265,12 +265,11 @@ SELECT CustomerID, x AS revenue,
        '(SELECT sum(CAST(x AS DECIMAL(28,4))) FROM custrev)')} AS cum_pct,
   {pct('row_number() OVER (ORDER BY x DESC, CustomerID)', '(SELECT count(*) FROM custrev)')} AS pct_customers
 FROM custrev"""
-    wide = ", ".join(f'max(CASE WHEN CohortIndex = {i} THEN retention_pct END) AS "{i}"' for i in range(80))
     return {
         "executive_kpis": kpi(),
         "cohort_counts": "SELECT * FROM cohorts",
         "cohort_retention": "SELECT * FROM retention",
-        "cohort_matrix": f"SELECT CohortMonth, {wide} FROM retention GROUP BY CohortMonth",
+        "cohort_matrix": "PIVOT retention ON CohortIndex USING first(retention_pct) GROUP BY CohortMonth",
         "clv_hist": histogram("SELECT x FROM custrev WHERE x <= (SELECT quantile_cont(x, 0.99) FROM custrev)", 50),
         "clv_stats": f"SELECT round(quantile_cont(x, 0.5), 6) AS median, round({mean('x')}, 6) AS mean FROM custrev",
         "revenue_vs_orders": """

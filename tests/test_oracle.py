@@ -9,6 +9,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from oracle.statements import statements
+from orderlens.plans import catalog
+
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -22,7 +25,7 @@ def load_entry():
 
 
 ENTRY = load_entry()
-QUERIES, STATEMENTS = ENTRY.queries(), ENTRY.oracle_sql()
+QUERIES, STATEMENTS = catalog.queries(), statements()
 
 
 @pytest.fixture(scope="module")
