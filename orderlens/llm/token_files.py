@@ -53,7 +53,7 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The inverse of ``encode_ranks``."""
     lengths = CONTROL_LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
     starts = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
+    raw = np.frombuffer(data + b"\0\0\0\0", np.uint8)
     words = np.lib.stride_tricks.sliding_window_view(raw, 4)[starts]
     return np.ascontiguousarray(words).view("<u4").ravel() & MASKS[lengths]
 
