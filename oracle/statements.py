@@ -2,7 +2,7 @@
 
 from itertools import combinations
 
-from oracle.base import LINE, exact, histogram, mean, pct, with_ctes
+from oracle.base import CTES, LINE, exact, histogram, mean, pct, with_ctes
 
 COLUMNS = LINE.split(", ")
 TYPES = dict(
@@ -388,8 +388,10 @@ FROM (SELECT {revenue} AS revenue, count(DISTINCT InvoiceNo) AS orders, count(DI
 SELECT *, Quantity * UnitPrice AS sales, Quantity * UnitPrice * discount AS discount_amount,
   Quantity * UnitPrice - cost AS profit FROM worders""",
         "clean_orders_doc": "SELECT * FROM corders",
-        "dim_location": "SELECT DISTINCT region, country FROM worders",
-        "dim_product_doc": "SELECT DISTINCT StockCode, category, sub_category FROM worders",
+        "dim_location": "SELECT DISTINCT region, country, region || '/' || country AS location_id FROM worders",
+        "dim_product_doc": "SELECT DISTINCT StockCode AS product_id, category, sub_category FROM worders",
+        "dim_date_doc": f"""
+SELECT *, CAST(strftime(Date, '%Y%m%d') AS INT) AS date_id FROM ({CTES['dimd'].replace('FROM fact', 'FROM corders')})""",
         "fact_orders": """
 SELECT InvoiceNo AS order_id, CustomerID AS customer_id, StockCode AS product_id,
   CAST(strftime(InvoiceDate, '%Y%m%d') AS INT) AS date_id, region || '/' || country AS location_id,

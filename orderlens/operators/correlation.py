@@ -2,7 +2,10 @@
 
 from collections.abc import Sequence
 from itertools import combinations
+from math import isnan
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,25 +18,19 @@ STRONG = 0.7
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """feature_a, feature_b, r for every pair of columns (a before b), all in one aggregation.
+    """feature_a, feature_b, r for every pair of columns (a before b), from one pass over the rows.
 
-    Null where a column does not vary.
+    Null where a column does not vary. Rows with a missing feature are left out. Only the matrix, a
+    number per pair of columns, reaches the driver.
     """
-    pairs = list(combinations(columns, 2))
-
-    def pearson(a: str, b: str):
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-    one = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = [
-        F.struct(
-            F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("r")
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return one.select(F.explode(F.array(*rows)).alias("p")).select(
-        "p.feature_a", "p.feature_b", "p.r"
-    )
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(df).select("v")
+    if vectors.isEmpty():
+        r = [[float("nan")] * len(columns) for _ in columns]
+    else:
+        r = Correlation.corr(vectors, "v").first()[0].toArray()
+    pairs = combinations(range(len(columns)), 2)
+    rows = [(columns[i], columns[j], None if isnan(r[i][j]) else float(r[i][j])) for i, j in pairs]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
 
 
 SEVEN_FEATURES = [

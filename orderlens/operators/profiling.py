@@ -86,22 +86,22 @@ def duplicate_report(raw: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> Da
 
 
 def numeric_describe(raw: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ]
-    )
+    def moments_of(c: str):
+        value = F.col(c).cast("double")
+        return F.struct(
+            F.lit(c).alias("column"),
+            F.count(value).alias("count"),
+            F.avg(value).alias("mean"),
+            F.stddev(value).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+            sample_skewness(value).alias("skew"),
+            sample_kurtosis(value).alias("kurtosis"),
+        )
+
+    moments = raw.agg(F.array(*[moments_of(c) for c in columns]).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
     tall = raw.select(F.explode(pairs).alias("pair")).select("pair.column", "pair.value")
-    moments = tall.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        sample_skewness("value").alias("skew"),
-        sample_kurtosis("value").alias("kurtosis"),
-    )
     quarters = quantiles(
         value_counts(tall, "value", ["column"]),
         {"q25": 0.25, "q50": 0.5, "q75": 0.75},

@@ -1,9 +1,10 @@
 """The documented warehouse form of orders: discount and profit, location, product categories."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.numeric import EXACT, exact_sum
+from orderlens.operators.star import dim_date
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
@@ -28,12 +29,22 @@ def line_economics(orders: DataFrame, cost: str | None = None) -> DataFrame:
     return priced.withColumn("profit", F.col("sales") - F.col(cost))
 
 
+def location_id() -> Column:
+    return F.concat_ws("/", "region", "country")
+
+
 def dim_location(orders: DataFrame) -> DataFrame:
-    return orders.select("region", "country").distinct()
+    return orders.select("region", "country").distinct().withColumn("location_id", location_id())
 
 
 def dim_product(orders: DataFrame) -> DataFrame:
-    return orders.select("StockCode", "category", "sub_category").distinct()
+    """Categories by ``product_id``, the key of ``fact_orders``."""
+    return orders.select(F.col("StockCode").alias("product_id"), "category", "sub_category").distinct()
+
+
+def dim_date_doc(orders: DataFrame) -> DataFrame:
+    """The days of the cleaned orders with ``date_id``, the key of ``fact_orders``."""
+    return dim_date(clean_orders(orders)).withColumn("date_id", F.date_format("Date", "yyyyMMdd").cast("int"))
 
 
 def fact_orders(orders: DataFrame, cost: str | None = None) -> DataFrame:
@@ -45,7 +56,7 @@ def fact_orders(orders: DataFrame, cost: str | None = None) -> DataFrame:
         F.col("CustomerID").alias("customer_id"),
         F.col("StockCode").alias("product_id"),
         F.date_format("InvoiceDate", "yyyyMMdd").cast("int").alias("date_id"),
-        F.concat_ws("/", "region", "country").alias("location_id"),
+        location_id().alias("location_id"),
         *measures,
         *(["profit"] if cost else []),
     )

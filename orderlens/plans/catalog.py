@@ -166,6 +166,7 @@ MEASURES: dict[str, Query] = {
     "clean_orders_doc": lambda i: warehouse.clean_orders(i.orders),
     "dim_location": lambda i: warehouse.dim_location(i.orders),
     "dim_product_doc": lambda i: warehouse.dim_product(i.orders),
+    "dim_date_doc": lambda i: warehouse.dim_date_doc(i.orders),
     "fact_orders": lambda i: warehouse.fact_orders(i.orders, "cost"),
     "revenue_by_region": lambda i: warehouse.revenue_by_region(i.orders),
     "top_products_profit": lambda i: warehouse.top_products_profit(i.orders, "cost"),

@@ -22,5 +22,5 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_rank_filters_run_before_the_shuffle(spark):
     raw = retail.raw_lines(spark, FOLDER)
-    for df in (profiling.top_values(raw), basket.product_pairs(Inputs(spark, FOLDER).sales)):
+    for df in (profiling.top_values(raw), basket.basket_items(Inputs(spark, FOLDER).sales, 10)):
         assert re.search(r"WindowGroupLimit .*Partial", plan_of(df))
