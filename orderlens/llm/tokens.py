@@ -9,7 +9,6 @@ words and runs are looked up in tables that the task fills through the tokenizer
 import itertools
 import os
 import re
-from array import array
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +33,17 @@ PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 
+class Signs(dict):
+    """How the vocabulary writes a character, kept per character."""
+
+    def __missing__(self, character: str) -> str:
+        self[character] = signs = character.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return signs
+
+
+SIGNS = Signs()
+
+
 def is_plain(text: str) -> bool:
     """Single spaces and line feeds between non-blanks are its only blanks."""
     if text[0] in " \n" or text[-1] in " \n" or any(b in text for b in OTHER_BLANKS):
@@ -74,24 +84,24 @@ class WordTokenizer:
 
     def clear(self) -> None:
         self.numbers = Numbers()
-        self.runs: dict[str, bytes] = {}
+        self.runs: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 20, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def run_ids(self, run: str) -> bytes:
+    def run_ids(self, run: str) -> list[int]:
         """Ids of one run of letters, digits or signs: nothing is left to cut before the merges."""
         if run.isascii():
             signs = run.replace(" ", "Ġ").replace("\n", "Ċ")
         else:
-            signs = run.encode().decode("latin-1").translate(BYTE_SIGNS)
-        return array("I", [t.id for t in self.merges.tokenize(signs)]).tobytes()
+            signs = "".join([SIGNS[c] for c in run])
+        return [t.id for t in self.merges.tokenize(signs)]
 
-    def kept_run_ids(self, run: str) -> bytes:
+    def kept_run_ids(self, run: str) -> list[int]:
         if (ids := self.runs.get(run)) is None:
             ids = self.runs[run] = self.run_ids(run)
         return ids
 
-    def word_ids(self, word: str) -> bytes:
+    def word_ids(self, word: str) -> list[int]:
         if LETTERS.fullmatch(word):
             return self.run_ids(" " + word)
         text = word[1:] if word[:1] == " " else " " + word
@@ -100,17 +110,30 @@ class WordTokenizer:
             runs = RUN.findall(body)
             if body is not text:
                 runs[0] = " " + runs[0]
-            return b"".join(map(self.kept_run_ids, runs))
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            return [i for run in runs for i in (self.kept_run_ids(run) if len(run) < 3 else self.run_ids(run))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def learn(self, words: list[str]) -> None:
         """Ids of new words, in the order of their numbers."""
-        ids = [*map(self.word_ids, words)]
-        ends = self.starts[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
-        while ends[-1] > len(self.flat):
+        merge, ends_of_words = self.merges.tokenize, {s: self.kept_run_ids(s) for s in ".,"}
+        ids: list[int] = []
+        ends: list[int] = []
+        for word in words:
+            if not word.isascii():
+                ids += self.word_ids(word)
+            elif word.isalpha():
+                ids += [t.id for t in merge("Ġ" + word)]
+            elif word[-1] in ends_of_words and word[:-1].isalpha():
+                ids += [t.id for t in merge("Ġ" + word[:-1])]
+                ids += ends_of_words[word[-1]]
+            else:
+                ids += self.word_ids(word)
+            ends.append(len(ids))
+        first = int(self.starts[-1])
+        while first + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.starts[-1] : ends[-1]] = np.frombuffer(b"".join(ids), np.uint32)
-        self.starts = np.concatenate([self.starts, ends])
+        self.flat[first : first + len(ids)] = ids
+        self.starts = np.concatenate([self.starts, np.array(ends, np.int64) + first])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in one array, and the number of ids of each text."""
