@@ -8,6 +8,7 @@ from orderlens.llm.decontamination import contaminated
 from orderlens.llm.edit_fingerprints import fingerprint_digest
 from orderlens.llm.jaccard import document_components
 from orderlens.llm.language import language_digest
+from orderlens.llm.oracle import statements
 from orderlens.llm.packing import packing_digest
 from orderlens.llm.pii import pii_digest
 from orderlens.llm.secrets import secret_digest
@@ -41,5 +42,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB twins of the queries that SQL can express on whole tables."""
-    return {}
+    return statements()
