@@ -113,14 +113,19 @@ class Induction:
         order = np.argsort(symbol, kind="stable")
         take, before, symbol = take[order], before[order], symbol[order].astype(np.int64)
         first = np.concatenate([[True], symbol[1:] != symbol[:-1]])
+        starts = np.flatnonzero(first)
+        stops = np.append(starts[1:], len(symbol))
+        if not self.most:
+            # Only the order is asked for.
+            for a, b in zip(starts, stops, strict=True):
+                self.queues[symbol[a]].push(before[a:b], np.zeros(b - a, np.int32))
+            return
         # Between two sources of one symbol: the prefixes after the former, up to the latter.
         low = np.where(first, 0, np.concatenate([[0], take[:-1] + 1]))
         shared = range_minima(prefix, low, take + 1).astype(np.int64)
         # The first one of a symbol also counts what was scanned in earlier batches; -1: it is the first of all.
         shared = np.where(first, np.minimum(shared, carried[symbol]), shared)
         shared = np.minimum(shared + 1, self.most).astype(np.int32)
-        starts = np.flatnonzero(first)
-        stops = np.append(starts[1:], len(symbol))
         ends = take[stops - 1]
         tail = np.full(len(ends), self.most, np.int64)
         more = ends + 1 < len(prefix)
@@ -131,18 +136,32 @@ class Induction:
             self.queues[symbol[a]].push(before[a:b], shared[a:b])
 
 
-def compare(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """Length of the common prefix of suffixes a and b, at most ``most``; equal starts are not given."""
-    shared = np.zeros(len(a), np.int32)
+def packed(text: np.ndarray) -> tuple[np.ndarray, int]:
+    """(numbers, symbols in each): eight symbols from each position on, or one if they need over a byte."""
+    if text.max() > 255:
+        return text.astype(np.uint64), 1
+    padded = np.concatenate([text.astype(np.uint8), np.zeros(7, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(padded, 8).copy().view("<u8").ravel(), 8
+
+
+def compare(packed_text: tuple[np.ndarray, int], a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Length of the common prefix of suffixes a and b, at most ``most``, several symbols at a time.
+
+    Suffixes differ before the end of the text, as its last symbol is unique.
+    """
+    words, width = packed_text
+    shared = np.full(len(a), most, np.int32)
     alive = np.arange(len(a))
-    for k in range(most):
+    for k in range(0, most, width):
         x, y = a[alive] + k, b[alive] + k
-        inside = (x < len(text)) & (y < len(text))
-        alive = alive[inside]
-        alive = alive[text[x[inside]] == text[y[inside]]]
+        differ = words[np.minimum(x, len(words) - 1)] ^ words[np.minimum(y, len(words) - 1)]
+        ends = np.flatnonzero(differ)
+        # Bits below the lowest differing one, in whole symbols.
+        low = np.bitwise_count((differ[ends] & (~differ[ends] + np.uint64(1))) - np.uint64(1)) // 8 if width == 8 else 0
+        shared[alive[ends]] = np.minimum(k + low, most)
+        alive = alive[differ == 0]
         if not len(alive):
             break
-        shared[alive] = k + 1
     return shared
 
 
@@ -157,7 +176,7 @@ def smaller_types(text: np.ndarray) -> np.ndarray:
     return smaller
 
 
-def scan(text: np.ndarray, symbols: int, smaller: np.ndarray, seeds: np.ndarray, shared: np.ndarray, most: int):
+def scan(text: np.ndarray, words: tuple[np.ndarray, int], symbols: int, smaller: np.ndarray, seeds: np.ndarray, shared: np.ndarray, most: int):
     """All suffixes from the sorted LMS suffixes: (positions, prefixes shared with the one before)."""
     n = len(text)
     store = Store()
@@ -187,7 +206,7 @@ def scan(text: np.ndarray, symbols: int, smaller: np.ndarray, seeds: np.ndarray,
         for at in range(a, b, BATCH):
             position, prefix = seeds[at : min(b, at + BATCH)], shared[at : min(b, at + BATCH)].copy()
             if at == a:
-                prefix[0] = 0 if latest is None else compare(text, latest, position[:1], most)[0]
+                prefix[0] = 0 if latest is None else compare(words, latest, position[:1], most)[0]
             up.induce(position, prefix, (position > 0) & (text[position - 1] > c))
     # Descending: the queue of a bucket holds its suffixes from the greatest down, each with the
     # prefix it shares with the next greater one.
@@ -211,7 +230,7 @@ def scan(text: np.ndarray, symbols: int, smaller: np.ndarray, seeds: np.ndarray,
             # Going down, a suffix shares with the one above what that one shares with it going up.
             shared_down = np.append(low_prefix[1:], np.int32(0))[::-1].copy()
             if len(high_position):
-                shared_down[0] = compare(text, low_position[-1:], high_position[-1:], most)[0]
+                shared_down[0] = compare(words, low_position[-1:], high_position[-1:], most)[0]
             position = low_position[::-1]
             down.induce(position, shared_down, (position > 0) & (text[position - 1] < c))
         # Final order of the bucket: larger types, then smaller types from the least up.
@@ -219,7 +238,7 @@ def scan(text: np.ndarray, symbols: int, smaller: np.ndarray, seeds: np.ndarray,
         if len(up_position):
             up_prefix = np.append(np.int32(0), up_prefix)
         if len(low_position) and len(up_position):
-            up_prefix[0] = compare(text, low_position[-1:], up_position[:1], most)[0]
+            up_prefix[0] = compare(words, low_position[-1:], up_position[:1], most)[0]
         position = np.concatenate([low_position, up_position])
         prefix = np.concatenate([low_prefix, up_prefix]).astype(np.int32)
         if len(prefix):
@@ -237,14 +256,14 @@ def suffix_order(text: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     ``text`` holds numbers from 0; its last one, 0, must occur nowhere else.
     """
     symbols = int(text.max()) + 1
-    smaller = smaller_types(text)
+    smaller, words = smaller_types(text), packed(text)
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     if len(text) == 1:
         return np.zeros(1, np.int64), np.zeros(1, np.int32)
     lms = lms.astype(np.int64)
     # Sort LMS substrings by an induction from LMS positions in order of their first symbols.
     seeds = lms[np.argsort(text[lms], kind="stable")]
-    rough, _ = scan(text, symbols, smaller, seeds, np.zeros(len(seeds), np.int32), most)
+    rough, _ = scan(text, words, symbols, smaller, seeds, np.zeros(len(seeds), np.int32), 0)
     is_lms = np.zeros(len(text), bool)
     is_lms[lms] = True
     sorted_lms = rough[is_lms[rough]]
@@ -262,8 +281,8 @@ def suffix_order(text: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         order = lms[suffix_order(name, 0)[0] if names <= MOST_BUCKETS else doubled_order(name)]
     shared = np.zeros(len(order), np.int32)
     if most:
-        shared[1:] = compare(text, order[:-1], order[1:], most)
-    return scan(text, symbols, smaller, order, shared, most)
+        shared[1:] = compare(words, order[:-1], order[1:], most)
+    return scan(text, words, symbols, smaller, order, shared, most)
 
 
 def doubled_order(name: np.ndarray) -> np.ndarray:

@@ -7,9 +7,10 @@ with one anchor form a segment, about 80 windows. Three cases follow, and togeth
 
 1. an anchor that occurs once: none of its windows is repeated;
 2. a segment that occurs as a whole elsewhere: all of its windows are repeated;
-3. an anchor in different segments: the segments, each content once, go to a shard by their anchor, the
-   shard is suffix-sorted (``induced_sort``), and neighbours in the suffix array that share ``length``
-   bytes are repeated windows. Equal windows have equal anchors, so they meet in one shard.
+3. an anchor in different segments: those that share the left or right half of a window with another
+   one, each content once, go to a shard by their anchor. The shard is suffix-sorted
+   (``induced_sort``), and neighbours in the suffix array that share ``length`` bytes are repeated
+   windows. Equal windows have equal anchors, so they meet in one shard.
 
 Contents are told apart by 128 bits of hash in steps 1 and 2, by their bytes in step 3.
 
@@ -18,7 +19,6 @@ occurrences; rows without doc_id are handled like others; overlaps count; an emp
 rows; columns besides doc_id and text are ignored.
 """
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +32,8 @@ from orderlens.llm.tables import drop_stored, stored
 
 LENGTH = 200
 ANCHOR = 24
+#: Bytes before the anchor that make the left half of a window; the right half is the rest.
+LEFT = 88
 #: Bytes of segments that one suffix array is built over.
 SHARD_BYTES = 4 << 20
 
@@ -46,9 +48,13 @@ def sliding_minimum(key: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(raw: np.ndarray, length: int, powers: Powers) -> tuple[np.ndarray, ...]:
-    """(first window, last window, anchor hash) of each run of windows with one anchor."""
+    """(first window, last window, anchor hash, hashes of its halves) of each run of windows with one anchor.
+
+    A window over the anchor holds the ``LEFT`` bytes before it or the rest of ``length`` from it on.
+    Each half is told by 32 bits, 0 where no window of the run holds it.
+    """
     if len(raw) < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
     at = np.arange(len(raw) - ANCHOR + 1)
     anchors = window_hashes(raw, at, at + ANCHOR, powers)
     # Order by 32 bits of hash, then by place: the same in equal windows wherever they stand.
@@ -56,26 +62,32 @@ def segments(raw: np.ndarray, length: int, powers: Powers) -> tuple[np.ndarray,
     place = (sliding_minimum(key, length - ANCHOR + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     last = np.append(first[1:], len(place)) - 1
-    return first, last, anchors[place[first]]
+    middle, right = place[first], length - LEFT
+    before, after = middle - first >= LEFT, last + length - middle >= right
+    one = np.uint64(1)
+    left_hash = window_hashes(raw, np.where(before, middle - LEFT, 0), np.where(before, middle, 0), powers) >> np.uint64(32)
+    right_hash = window_hashes(raw, np.where(after, middle, 0), np.where(after, middle + right, 0), powers) >> np.uint64(32)
+    halves = (np.where(before, left_hash | one, np.uint64(0)) << np.uint64(32)) | np.where(after, right_hash | one, np.uint64(0))
+    return first, last, anchors[middle], halves
 
 
 def segment_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(row, anchor, content1, content2, first, last) of every segment of every text."""
+    """(row, anchor, content1, content2, halves, first, last) of every segment of every text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 raw = np.frombuffer((text or "").encode(), np.uint8)
-                first, last, anchor = segments(raw, length, powers)
+                first, last, anchor, halves = segments(raw, length, powers)
                 if len(first):
                     content = window_hashes(raw, first, last + length, powers)
                     other = window_hashes(raw ^ 0x5A, first, last + length, powers)
-                    columns = [pa.array(np.full(len(first), row)), *(pa.array(mix(x).view(np.int64)) for x in (anchor, content, other))]
+                    columns = [pa.array(np.full(len(first), row)), *(pa.array(mix(x).view(np.int64)) for x in (anchor, content, other)), pa.array(halves.view(np.int64))]
                     columns += [pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(columns, ["row", "anchor", "content1", "content2", "first", "last"])
+                    yield pa.RecordBatch.from_arrays(columns, ["row", "anchor", "content1", "content2", "halves", "first", "last"])
 
-    return docs.mapInArrow(cut, "row long, anchor long, content1 long, content2 long, first int, last int")
+    return docs.mapInArrow(cut, "row long, anchor long, content1 long, content2 long, halves long, first int, last int")
 
 
 def segment_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -102,6 +114,8 @@ def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
     starts = np.cumsum(sizes + 1) - (sizes + 1)
     text[starts[1:] - 1] = 1  # between parts: no window runs over it
     text[-2], text[-1] = 1, 0
+    # Dense symbols: texts rarely use more than 256 of them, which the sort packs into bytes.
+    text = np.unique(text, return_inverse=True)[1]
     order, shared = suffix_order(text, length)
     hit = np.flatnonzero(shared >= length)
     found = np.unique(np.concatenate([order[hit], order[hit - 1]]))
@@ -147,21 +161,31 @@ def mixed_windows(parts: DataFrame, length: int, shards: int) -> DataFrame:
     return dealt.mapInArrow(sort, "row long, first long, last long")
 
 
+def sharing_a_half(mixed: DataFrame) -> DataFrame:
+    """The segments that have half a window in common with another one of their anchor; others repeat nothing."""
+    left, right = F.shiftrightunsigned("halves", 32), F.col("halves").bitwiseAND(F.lit(0xFFFFFFFF))
+    sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), left.alias("half")), F.struct(F.lit(1).alias("side"), right.alias("half")))).alias("part")
+    halves = mixed.select("row", "first", "anchor", sides).select("row", "first", "anchor", "part.*").where("half <> 0")
+    common = halves.groupBy("anchor", "side", "half").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    kept = halves.join(common, ["anchor", "side", "half"]).select("row", "first").distinct()
+    return mixed.join(kept, ["row", "first"]).drop("halves")
+
+
 def repeats(docs: DataFrame, length: int) -> DataFrame:
     """(row, spans): ascending runs (first, last) of repeated windows of each text that has some."""
     found = stored(segment_rows(docs, length))
-    by_content = found.groupBy("anchor", "content1", "content2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last")).alias("one"))
+    by_content = found.groupBy("anchor", "content1", "content2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first", "last", "halves")).alias("one"))
     contents = stored(by_content)
     anchors = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
-    mixed = contents.join(anchors.select("anchor"), "anchor").select("anchor", "n", "one.*")
-    parts = stored(segment_bytes(docs, mixed, length))
+    mixed = stored(contents.join(anchors.select("anchor"), "anchor").select("anchor", "n", "one.*"))
+    parts = stored(segment_bytes(docs, sharing_a_half(mixed), length))
     # A segment is a third longer than ``length`` on average.
     shards = 1 + parts.count() * length * 4 // 3 // (4 * SHARD_BYTES)
     odd = mixed_windows(parts, length, shards)
     whole = contents.where("n > 1").select("anchor", "content1", "content2")
     even = found.join(whole, ["anchor", "content1", "content2"]).select("row", F.col("first").cast("long"), F.col("last").cast("long"))
     spans = stored(even.union(odd).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("spans")))
-    for table in (found, contents, parts):
+    for table in (found, contents, mixed, parts):
         drop_stored(table)
     return spans
 
