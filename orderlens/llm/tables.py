@@ -21,11 +21,23 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4()}"
 
 
+#: Spark's switch for deleting the shuffle files of a query when the query ends.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` as Parquet into a shared folder and read it again: the lineage ends there."""
-    folder = shared_folder(df.sparkSession)
-    df.write.option("compression", codec).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """Write ``df`` as Parquet into a shared folder and read it again: the lineage ends there.
+
+    Shuffle files behind it are of no use any more and go at once.
+    """
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.option("compression", codec).parquet(folder)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def drop_stored(df: DataFrame) -> None:
