@@ -4,13 +4,13 @@ Equal sets are one. The distinct sets are partitioned into groups of similar one
 the union of the (prefix) tokens of every group, and the overlap of a set with a group's union bounds
 its overlap with each member, so only groups that reach the bound are opened. In a fixed order of all
 tokens two similar sets share ``SHARED`` tokens within their prefixes (prefix filter), so the matrix
-holds prefixes only. The order puts tokens that are common in a sample last; any order gives the
-same links, a good one gives fewer candidates.
+holds prefixes only. The order puts common tokens last; any order gives the same
+links, a good one gives fewer candidates.
 
-1. Sets that share a rare token with the smallest id that has it are tested against that id; what is
-   linked forms the groups (connected components of the tested links).
+1. Sets that share a rare token with the smallest id that has it are tested against such an id; what
+   is linked forms the groups (connected components of the tested links).
 2. Set x qualifies for another group if its prefix meets the group's union often enough.
-3. Opened groups compare x with their members, in blocks, through 512-bit parity sketches, whose
+3. Opened groups compare x with their members, in blocks, through parity sketches, whose
    Hamming distance never exceeds the symmetric difference; the few pairs left are counted exactly.
 
 No link between different sets is lost: it is within a group, or qualifies in step 2 and passes the
@@ -32,11 +32,9 @@ from orderlens.llm.components import components
 from orderlens.llm.hashing import Powers, mix, window_hashes
 from orderlens.llm.tables import in_slices, stored
 
-#: Documents of the sample that finds common tokens; it only guides the order of tokens.
-SAMPLE_DOCS = 20_000
-#: Tokens of the order that are known to be common, at most.
-COMMON_TOKENS = 100_000
-#: Sample sets that make a token a common one.
+#: Tokens that are known to be common, at most; they only guide the order of tokens.
+COMMON_TOKENS = 500_000
+#: Prefixes that make a token a common one.
 COMMON_FROM = 3
 #: Prefix tokens that a set must share with a group's union.
 SHARED = 3
@@ -84,33 +82,32 @@ def text_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Ar
             yield batch.column("doc_id").slice(low, high - low), gram_sets(texts[low:high], n, powers)
 
 
-def common_tokens(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, place): tokens that several sets of a bounded sample share, and their place in the order."""
+def prefix_size(n: int, percent: int) -> int:
+    return min(n, n - -(-percent * n // 100) + SHARED)
+
+
+def common_tokens(docs: DataFrame, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, count): tokens that several prefixes share when all are taken in order of their hash.
+
+    Counted over all documents; the commonest ones reach the driver, as many as ``COMMON_TOKENS``.
+    """
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in text_rows(batches, n):
-            for u in sets:
-                key = int(mix(np.array([len(u)], np.uint64) + np.bitwise_xor.reduce(mix(u)) if len(u) else np.zeros(1, np.uint64))[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key], pa.uint64()).cast(pa.int64(), safe=False), pa.array([u.view(np.int64)], pa.list_(pa.int64()))], ["key", "tokens"]
-                )
-
-    total = docs.count()
-    share = min(1.0, SAMPLE_DOCS / max(1, total))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1))
-    sets = sample.select("doc_id", "text").mapInArrow(tokens, "key long, tokens array<long>").dropDuplicates(["key"])
-    found = (
-        sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where(F.col("count") >= COMMON_FROM)
-        .orderBy(F.desc("count"), "token").limit(COMMON_TOKENS).toPandas()
-    )
-    token, count = found["token"].to_numpy(np.int64).view(np.uint64), found["count"].to_numpy()
+            parts = [np.sort(mix(u))[: prefix_size(len(u), percent)] for u in sets]
+            token, count = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(count)], ["token", "n"])
+
+    counts = docs.select("doc_id", "text").mapInArrow(tokens, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "token").limit(COMMON_TOKENS).toPandas()
+    token, count = found["token"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
     order = np.argsort(token)
-    return token[order], count[order].astype(np.int64)
+    return token[order], count[order]
 
 
 def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, size, set_hash, sketch, prefix) per row; 128 bits of hash tell sets apart."""
-    shared = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, n))
+    shared = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, n, percent))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, count = shared.value
@@ -120,11 +117,11 @@ def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 spread = mix(u)
                 two = (np.bitwise_xor.reduce(spread) if len(u) else 0, np.add.reduce(mix(spread ^ np.uint64(7))) if len(u) else 0)
                 hashes.append(np.array(two, np.uint64).tobytes())
-                keep = min(len(u), len(u) - -(-percent * len(u) // 100) + SHARED)
+                keep = prefix_size(len(u), percent)
                 place = np.zeros(len(u), np.int64)
                 if len(common):
-                    at = np.minimum(np.searchsorted(common, u), len(common) - 1)
-                    place = np.where(common[at] == u, count[at], 0)
+                    at = np.minimum(np.searchsorted(common, spread), len(common) - 1)
+                    place = np.where(common[at] == spread, count[at], 0)
                 prefixes.append(u[np.lexsort((spread, place))[:keep]].view(np.int64))
                 sketches.append(sketch(u))
             columns = [ids, pa.array([len(u) for u in sets], pa.int64()), pa.array(hashes, pa.binary()), pa.array(sketches, pa.binary())]
@@ -136,10 +133,20 @@ def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    bits = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1
+    """Parities of the tokens per hash class; twice as many classes for each doubling of a large set."""
+    size = max(SKETCH_BITS, 1 << max(0, (len(tokens) // 2)).bit_length())
+    bits = np.bincount((mix(tokens ^ np.uint64(99)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (one per row) with fewer classes: halves are added up modulo two."""
+    while sketches.shape[-1] > words:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
+
+
 def may_link(difference: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets with this least symmetric difference and sum of sizes can be similar enough."""
     return (total - difference) * (100 + percent) >= 2 * percent * total
@@ -150,10 +157,13 @@ def sketch_filter(pairs: DataFrame, percent: int) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
-                total = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-                yield batch.select(["a", "b"]).filter(pa.array(may_link(np.bitwise_count(x ^ y).sum(axis=1), total, percent)))
+            total = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+            difference = np.zeros(batch.num_rows, np.int64)
+            for i, both in enumerate(zip(batch.column("sketch_a").to_pylist(), batch.column("sketch_b").to_pylist(), strict=True)):
+                x, y = (np.frombuffer(z, np.uint64) for z in both)
+                words = min(len(x), len(y))
+                difference[i] = np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(difference, total, percent)))
 
     return pairs.mapInArrow(keep, "a long, b long")
 
@@ -162,46 +172,57 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     """The pairs (a, b) of document ids whose sets are similar enough, counted exactly."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, sets in text_rows(batches, n):
-            yield pa.RecordBatch.from_arrays([doc_ids, pa.array([u.tobytes() for u in sets], pa.binary())], ["id", "tokens"])
-
-    needed = docs.select(F.col("doc_id").cast("long"), "text").join(stored(ids), "doc_id", "left_semi")
-    # Rows that repeat a doc_id were linked by it before; one of them stands for the pair's set.
-    sets = stored(needed.mapInArrow(tokens, "id long, tokens binary"))
-    left, right = (sets.select(F.col("id").alias(c), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
+    # Rows that repeat a doc_id are linked by it already; each of their texts stands for the id here.
+    needed = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(stored(ids).withColumnRenamed("doc_id", "id"), "id", "left_semi")
+    texts = stored(needed)
+    left, right = (texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("tokens_a").to_pylist(), batch.column("tokens_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            pairs = list(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True))
+            for low, high in in_slices([x + y for x, y in pairs], 1 << 20):
+                sets = gram_sets([t for pair in pairs[low:high] for t in pair], n, powers)
+                for x, y in zip(sets[::2], sets[1::2], strict=True):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(count, "a long, b long")
+    # Few pairs share their second set, many their first one: it is joined last and never multiplied.
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(count, "a long, b long")
 
 
 def open_groups(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of a query and a member of its group that sketches and sizes allow.
 
-    ``queries`` has (grp, id, size, sketch), ``members`` also ``blocks``, the blocks of the group.
+    ``queries`` has (grp, id, size, component, sketch), ``members`` also ``blocks``, the blocks of the
+    group. Members of the query's own component need no link and are left out.
     A task holds one block of members and takes the group's queries in slices.
     """
 
     def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        def arrays(t: pa.Table):
-            sketches = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(t.num_rows, -1)
-            return t.column("id").to_numpy(), t.column("size").to_numpy(), sketches
+        def classes(t: pa.Table):
+            """(ids, sizes, components, sketches) per length of sketch."""
+            sketches = t.column("sketch").to_pylist()
+            lengths = np.array([len(x) for x in sketches])
+            ids, sizes, parts = (t.column(c).to_numpy() for c in ("id", "size", "component"))
+            for n in np.unique(lengths):
+                own = np.flatnonzero(lengths == n)
+                yield ids[own], sizes[own], parts[own], np.frombuffer(b"".join(sketches[i] for i in own), np.uint64).reshape(len(own), -1)
 
-        a, size_a, sketch_a = arrays(left)
-        b, size_b, sketch_b = arrays(right)
         found = []
-        for i in range(0, len(a), 64):
-            difference = np.bitwise_count(sketch_a[i : i + 64, None, :] ^ sketch_b[None, :, :]).sum(axis=2, dtype=np.int64)
-            x, y = np.nonzero(may_link(difference, size_a[i : i + 64, None] + size_b[None, :], percent))
-            found.append((a[i + x], b[y]))
+        members = list(classes(right))
+        for a, size_a, part_a, sketch_a in classes(left):
+            for b, size_b, part_b, sketch_b in members:
+                words = min(sketch_a.shape[1], sketch_b.shape[1])
+                x, y = folded(sketch_a, words), folded(sketch_b, words)
+                step = max(1, (1 << 22) // (words * len(b)))
+                for i in range(0, len(a), step):
+                    difference = np.bitwise_count(x[i : i + step, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+                    apart = part_a[i : i + step, None] != part_b[None, :]
+                    p, q = np.nonzero(apart & may_link(difference, size_a[i : i + step, None] + size_b[None, :], percent))
+                    found.append((a[i + p], b[q]))
         columns = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1)]
         return pa.table({"a": columns[0], "b": columns[1]})
 
@@ -222,27 +243,36 @@ def document_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     sets = stored(sets.drop("set_hash"))
     rows = sets.select("id", F.explode("prefix").alias("token"))
     leaders = rows.groupBy("token").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    stars = rows.join(leaders, "token").where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    # Only tokens of several sets can make candidates; most prefix tokens are of one set.
+    shared = stored(rows.join(leaders, "token"))
+    stars = shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     side = [sets.select(F.col("id").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"]
     tested = sketch_filter(stars.join(side[0], "a").join(side[1], "b"), percent)
+    # One test per set is enough to form groups; what it leaves apart is found by steps 2 and 3.
+    tested = tested.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     first_links = stored(similar_pairs(stored(tested), docs, n, percent))
-    groups = components(first_links)
+    linked = components(first_links)
 
+    # Groups of similar sets: each set goes with the leader it shares most rare tokens with.
+    ties = shared.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("ties"))
+    nearest = ties.groupBy("id").agg(F.max_by("leader", F.struct("ties", -F.col("leader"))).alias("grp"))
+    grouped = sets.drop("prefix").join(linked, "id", "left").join(nearest, "id", "left")
+    grouped = stored(grouped.withColumns({c: F.coalesce(c, "id") for c in ("component", "grp")}))
     # Token-group matrix: the union of the members' prefixes, a row per (token, group).
-    grouped = sets.join(groups.select("id", F.col("component").alias("grp")), "id", "left").withColumn("grp", F.coalesce("grp", "id"))
-    grouped = stored(grouped)
-    tokens = grouped.select("id", "grp", F.explode("prefix").alias("token"))
-    matrix = tokens.select("token", "grp").distinct()
-    wide = matrix.groupBy("token").count().where("count > 1").select("token")
-    tokens, matrix = stored(tokens.join(wide, "token")), matrix.join(wide, "token")
+    tokens = stored(shared.select("id", "token").join(grouped.select("id", "grp"), "id"))
+    matrix = tokens.select("token", F.col("grp").alias("other")).distinct()
+    meets = tokens.join(matrix, "token").where("grp <> other")
+    overlap = meets.groupBy("id", F.col("other").alias("grp")).agg(F.count(F.lit(1)).alias("overlap"))
     need = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
-    meets = tokens.join(matrix.select("token", F.col("grp").alias("other")), "token").where("grp != other")
-    overlap = meets.groupBy("id", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    queries = overlap.join(grouped.select("id", "size", "sketch", "grp"), "id").where(F.col("overlap") >= need)
-    # A pair of groups is opened from one side only: the smaller set is needed in one direction.
-    queries = stored(queries.select(F.col("other").alias("grp"), "id", "size", "sketch"))
-    sizes = grouped.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = grouped.select("grp", "id", "size", "sketch").join(sizes, "grp").join(queries.select("grp").distinct(), "grp", "left_semi")
+    about = ["grp", "id", "size", "component", "sketch"]
+    others = overlap.join(grouped.drop("grp"), "id").where(F.col("overlap") >= need).select(about)
+    # A group is opened for its own members too, unless they all hang together already.
+    parts = grouped.groupBy("grp").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), (F.min("component") < F.max("component")).alias("apart")
+    )
+    own = grouped.join(parts.where("apart").select("grp"), "grp").select(about)
+    queries = stored(others.union(own))
+    members = grouped.join(parts.select("grp", "blocks"), "grp").join(queries.select("grp").distinct(), "grp", "left_semi").select(*about, "blocks")
     opened = open_groups(queries, members, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stored(first_links.union(similar_pairs(stored(opened), docs, n, percent)))
     merged = components(links)
