@@ -253,9 +253,11 @@ def document_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     first_links = stored(similar_pairs(stored(tested), docs, n, percent))
     linked = components(first_links)
 
-    # Groups of similar sets: each set goes with the leader it shares most rare tokens with.
-    ties = shared.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("ties"))
-    nearest = ties.groupBy("id").agg(F.max_by("leader", F.struct("ties", -F.col("leader"))).alias("grp"))
+    # Groups of similar sets: each set goes with the leader it shares most rare tokens with, and a
+    # leader's own leader takes both in, so that a family of near copies is one group.
+    ties = shared.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("ties")).where((F.col("ties") >= SHARED) & (F.col("id") != F.col("leader")))
+    nearest = ties.groupBy("id").agg(F.max_by("leader", F.struct("ties", -F.col("leader"))).alias("leader"))
+    nearest = components(nearest.select(F.col("id").alias("a"), F.col("leader").alias("b"))).withColumnRenamed("component", "grp")
     grouped = sets.drop("prefix").join(linked, "id", "left").join(nearest, "id", "left")
     grouped = stored(grouped.withColumns({c: F.coalesce(c, "id") for c in ("component", "grp")}))
     # Token-group matrix: the union of the members' prefixes, a row per (token, group).
