@@ -14,7 +14,7 @@ larger-type part of a bucket meets the smaller-type part are the two suffixes co
 so are neighbours among the sorted LMS suffixes.
 
 Queues beyond ``MEMORY`` bytes go to temporary files of the task, which vanish with it, like the spill
-files of a shuffle; the text of a shard beyond that is mapped from a file as well.
+files of a shuffle. The text of a shard and its final order stay in memory.
 """
 
 import tempfile
