@@ -47,7 +47,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their windows, as ``packing_digest`` gives them."""
-    return packing_digest(docs)
+    return packing_digest(docs, special_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -30,11 +30,11 @@ SHARD_PIECES = 20_000
 PIECE_SCHEMA = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
-def token_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = 0, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_pieces(docs: DataFrame, window: int = WINDOW, end_id: int = 0, vocabulary: str = VOCABULARY, special_ids: bool = False) -> DataFrame:
     """Each document's ids and the end id, cut into windows; ids are little-endian 32 bit."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(vocabulary)
+        tokenizer = WordTokenizer(vocabulary, special_ids=special_ids)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for low, high in in_slices(texts, 1 << 20):
@@ -138,14 +138,14 @@ def shard_count(docs: DataFrame, window: int = WINDOW, shard_pieces: int = SHARD
     return 1 + (sizes[0] + (sizes[1] or 0) // window) // shard_pieces
 
 
-def pack_documents(docs: DataFrame, window: int = WINDOW, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, window: int = WINDOW, end_id: int = 0, special_ids: bool = False) -> DataFrame:
     """All pieces of all documents with their ids and places."""
-    return pack_pieces(token_pieces(docs, window, end_id), shard_count(docs, window), window)
+    return pack_pieces(token_pieces(docs, window, end_id, special_ids=special_ids), shard_count(docs, window), window)
 
 
-def packing_digest(docs: DataFrame) -> DataFrame:
+def packing_digest(docs: DataFrame, special_ids: bool = False) -> DataFrame:
     """Places of all pieces with a checksum of their ids instead of the ids."""
-    pieces = token_pieces(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    pieces = token_pieces(docs, special_ids=special_ids).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return pack_pieces(pieces, shard_count(docs)).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

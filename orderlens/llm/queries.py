@@ -28,9 +28,9 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_packing": over("documents", packing_digest),
+        "op1_packing": over("documents", lambda docs: packing_digest(docs, special_ids=True)),
         "op2_secrets": over("documents", secret_digest),
-        "op3_token_files": over("documents", token_file_digest),
+        "op3_token_files": over("documents", lambda docs: token_file_digest(docs, special_ids=True)),
         "op4_language": over("documents", language_digest),
         "op5_decontamination": decontamination,
         "op6_pii": over("documents", pii_digest),

@@ -58,11 +58,11 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(words).view("<u4").ravel() & MASKS[lengths]
 
 
-def token_blocks(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_blocks(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABULARY, special_ids: bool = False) -> DataFrame:
     """Blocks of documents in ascending order with their raw ids, still to be ranked."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, block, before = WordTokenizer(vocabulary), 0, 0
+        tokenizer, block, before = WordTokenizer(vocabulary, special_ids=special_ids), 0, 0
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             part = batch.column("part")[0].as_py() if batch.num_rows else 0
@@ -105,11 +105,11 @@ def id_ranks(blocks: DataFrame, vocabulary_size: int) -> np.ndarray:
     return ranks
 
 
-def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, vocabulary: str = VOCABULARY) -> None:
+def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, vocabulary: str = VOCABULARY, special_ids: bool = False) -> None:
     """Write the shards of ``docs`` under ``folder``/shards and their rank table under ``folder``/ranks."""
     spark = docs.sparkSession
     size = WordTokenizer(vocabulary).tokenizer.get_vocab_size()
-    blocks = stored(token_blocks(docs, end_id, vocabulary))
+    blocks = stored(token_blocks(docs, end_id, vocabulary, special_ids))
     ranks = id_ranks(blocks, size)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,10 +159,10 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return shards.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def token_file_digest(docs: DataFrame) -> DataFrame:
+def token_file_digest(docs: DataFrame, special_ids: bool = False) -> DataFrame:
     """Write the files of all documents, read them back and sum up each document's ids."""
     folder = shared_folder(docs.sparkSession)
-    write_token_files(docs, folder)
+    write_token_files(docs, folder, special_ids=special_ids)
     return read_token_files(docs.sparkSession, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

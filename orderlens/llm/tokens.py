@@ -4,6 +4,9 @@ Byte-level BPE never merges across a single space between two non-blanks, so a t
 sequence of its words, each with the space before it. A word of plain characters falls further
 into runs of letters, digits or signs, which the vocabulary's own pattern never joins. Ids of
 words and runs are looked up in tables that the task fills through the tokenizers library.
+
+A special token that a text spells out ('<|endoftext|>') is its own id with ``special_ids``, as the
+library has it by default, and plain text without.
 """
 
 import itertools
@@ -74,10 +77,16 @@ class Numbers(dict):
 class WordTokenizer:
     """Ids of many texts as one flat array; equal to encoding each text by itself."""
 
-    def __init__(self, path: str = VOCABULARY, cached_words: int = CACHED_WORDS):
+    def __init__(self, path: str = VOCABULARY, cached_words: int = CACHED_WORDS, special_ids: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_ids
+        added = self.tokenizer.get_added_tokens_decoder() if special_ids else {}
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("special tokens that take in their surroundings are not supported")
+        self.special = {t.content: i for i, t in added.items()}
+        # The longest of those that begin at one place counts.
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         self.merges = self.tokenizer.model
         self.cached_words = cached_words
         self.clear()
@@ -137,6 +146,20 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` in one array, and the number of ids of each text."""
+        if not any(s in t for s in self.special for t in texts):
+            return self.encode_parts(texts)
+        # Parts between special tokens are texts of their own; each but a text's last ends with an id.
+        parts = [self.cut.split(t) for t in texts]
+        ends = [self.special[s] for t in texts for s in self.cut.findall(t)]
+        flat, count = self.encode_parts([p for some in parts for p in some])
+        size = np.array([len(some) for some in parts])
+        first = np.cumsum(size) - size
+        inner = np.ones(len(count), bool)
+        inner[first + size - 1] = False
+        return np.insert(flat, np.cumsum(count)[inner], ends), np.add.reduceat(count, first) + size - 1
+
+    def encode_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` for texts without special tokens."""
         if len(self.numbers) > self.cached_words:
             self.clear()
         lists = [words_of(t) if t else [] for t in texts]
