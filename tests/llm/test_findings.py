@@ -3,10 +3,13 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
+from test_operators import SMALL
 from tokenizers import Tokenizer
 
 from orderlens.llm import queries, tokens
+from orderlens.llm.tables import table
 
 
 def test_special_tokens_have_their_ids_in_the_queries(spark, tmp_path):
@@ -27,3 +30,16 @@ def test_special_tokens_have_their_ids_in_the_queries(spark, tmp_path):
         want.append((i, start, len(one) + 1, crc([*one, 2])))
         start += len(one) + 1
     assert sorted(tuple(r) for r in queries.queries()["op3_token_files"](spark, str(tmp_path)).collect()) == want
+
+
+def test_stages_decide_by_row_not_by_doc_id(spark):
+    schema = "doc_id long, text string, lang string"
+    kept = lambda stage, rows: sorted(map(str, dict(corpus_pipeline.STAGES)[stage](spark, spark.createDataFrame([(*r, "en") for r in rows], schema), SMALL).drop("lang").collect()))
+    want = lambda rows: sorted(f"Row(doc_id={i}, text={t!r})" for i, t in rows)
+    clean = ["the old mill stands by the river and the children play", "a long road leads over the hills to the quiet sea"]
+    good = [(1, clean[0]), (None, clean[1]), (3, clean[1])]
+    assert kept("language", [*good, (1, "12 34 !!"), (None, None), (None, "77")]) == want(good)
+    rows = [(7, clean[0]), (7, clean[0]), (None, clean[0]), (None, clean[1]), (None, clean[1]), (7, "another text that shares its number with a copy")]
+    assert kept("near_copies", rows) == want([rows[0], rows[3], rows[5]])
+    item = table(spark, SMALL, "benchmark").where("item_id = 0").first()["text"]
+    assert kept("decontamination", [*good, (1, f"so {item} it is"), (None, item), (5, item)]) == want(good)
