@@ -38,7 +38,7 @@ COMMON_TOKENS = 500_000
 COMMON_FROM = 3
 #: Prefix tokens that a set must share with a group's union.
 SHARED = 3
-#: Members of a group that one task compares at a time.
+#: Members of a group, and queries to it, that one task compares; a hash deals them, so about as many.
 BLOCK = 4096
 SKETCH_BITS = 512
 
@@ -198,7 +198,7 @@ def open_groups(queries: DataFrame, members: DataFrame, percent: int) -> DataFra
 
     ``queries`` has (grp, id, size, component, sketch), ``members`` also ``blocks``, the blocks of the
     group. Members of the query's own component need no link and are left out.
-    A task holds one block of members and takes the group's queries in slices.
+    A task holds one block of members and one block of queries, and compares in slices.
     """
 
     def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -227,12 +227,34 @@ def open_groups(queries: DataFrame, members: DataFrame, percent: int) -> DataFra
         return pa.table({"a": columns[0], "b": columns[1]})
 
     counts = members.select("grp", "blocks").distinct()
-    spread = queries.join(counts, "grp").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks")
-    by = ["grp", "block"]
+    counts = queries.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("slices")).join(counts, "grp")
+    dealt_to = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    about = ["grp", "id", "size", "component", "sketch"]
+    spread = queries.join(counts, "grp").select(*about, dealt_to("slices").alias("slice"), every("blocks").alias("block"))
+    dealt = members.drop("blocks").join(counts, "grp").select(*about, every("slices").alias("slice"), dealt_to("blocks").alias("block"))
+    by = ["grp", "slice", "block"]
     return spread.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInArrow(compare, "a long, b long")
 
 
+def group_parts(grouped: DataFrame) -> DataFrame:
+    """(grp, blocks, main, apart): blocks of members, largest component, whether there are others."""
+    sizes = grouped.groupBy("grp", "component").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy("grp").agg(
+        F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"),
+        F.max_by("component", F.struct("n", -F.col("component"))).alias("main"),
+        (F.count(F.lit(1)) > 1).alias("apart"),
+    )
+
+
+def own_queries(grouped: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members that their own group is opened for: those outside its largest component.
+
+    A link that is missing within a group joins two components, so one end of it is among them.
+    """
+    return grouped.join(parts.where("apart").select("grp", "main"), "grp").where("component <> main")
+
+
 def document_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id): links join sets with ``100 * both >= percent * any``."""
     features = stored(document_features(docs, n, percent))
@@ -268,12 +290,8 @@ def document_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     need = F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))
     about = ["grp", "id", "size", "component", "sketch"]
     others = overlap.join(grouped.drop("grp"), "id").where(F.col("overlap") >= need).select(about)
-    # A group is opened for its own members too, unless they all hang together already.
-    parts = grouped.groupBy("grp").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), (F.min("component") < F.max("component")).alias("apart")
-    )
-    own = grouped.join(parts.where("apart").select("grp"), "grp").select(about)
-    queries = stored(others.union(own))
+    parts = group_parts(grouped)
+    queries = stored(others.union(own_queries(grouped, parts).select(about)))
     members = grouped.join(parts.select("grp", "blocks"), "grp").join(queries.select("grp").distinct(), "grp", "left_semi").select(*about, "blocks")
     opened = open_groups(queries, members, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = stored(first_links.union(similar_pairs(stored(opened), docs, n, percent)))

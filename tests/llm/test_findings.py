@@ -8,7 +8,7 @@ import numpy as np
 from test_operators import SMALL
 from tokenizers import Tokenizer
 
-from orderlens.llm import queries, tokens
+from orderlens.llm import jaccard, queries, tokens
 from orderlens.llm.tables import table
 
 
@@ -43,3 +43,25 @@ def test_stages_decide_by_row_not_by_doc_id(spark):
     assert kept("near_copies", rows) == want([rows[0], rows[3], rows[5]])
     item = table(spark, SMALL, "benchmark").where("item_id = 0").first()["text"]
     assert kept("decontamination", [*good, (1, f"so {item} it is"), (None, item), (5, item)]) == want(good)
+
+
+def test_group_tasks_hold_a_block_of_queries(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    sketches = [jaccard.sketch(rng.integers(0, 1 << 60, 40).astype(np.uint64)) for _ in range(200)]
+    # One family of 199 linked members and a stray one that is equal to the last of them.
+    rows = [(0, i, 40, 0 if i < 199 else 199, sketches[min(i, 198)]) for i in range(200)]
+    members, asked = (spark.createDataFrame(rows, "grp long, id long, size long, component long, sketch binary") for _ in range(2))
+    test = jaccard.may_link
+
+    def watched(difference, total, percent):
+        if max(difference.shape) > 40:
+            raise AssertionError(difference.shape)
+        return test(difference, total, percent)
+
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
+    monkeypatch.setattr(jaccard, "may_link", watched)
+    opened = jaccard.open_groups(asked, members.selectExpr("*", "20 AS blocks"), 90)
+    assert sorted({tuple(sorted(r)) for r in opened.collect()}) == [(198, 199)]
+    parts = jaccard.group_parts(members)
+    assert [tuple(r) for r in parts.collect()] == [(0, 20, 0, True)]
+    assert [r["id"] for r in jaccard.own_queries(members, parts).collect()] == [199]
