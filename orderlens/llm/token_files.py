@@ -123,7 +123,9 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, vocabu
 
     table = [(int(i), int(r)) for i, r in enumerate(ranks)]
     spark.createDataFrame(table, "id int, rank int").coalesce(1).write.parquet(f"{folder}/ranks")
-    blocks.mapInArrow(encode, SHARD_SCHEMA).write.option("compression", "none").parquet(f"{folder}/shards")
+    # Spark reads stored files by falling size: blocks are put in order again before they are written.
+    ordered = blocks.repartitionByRange("part", "block").sortWithinPartitions("part", "block")
+    ordered.mapInArrow(encode, SHARD_SCHEMA).write.option("compression", "none").parquet(f"{folder}/shards")
     drop_stored(blocks)
 
 

@@ -5,10 +5,11 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import pyarrow.parquet as pq
 from test_operators import SMALL
 from tokenizers import Tokenizer
 
-from orderlens.llm import jaccard, queries, tokens
+from orderlens.llm import jaccard, queries, token_files, tokens
 from orderlens.llm.tables import table
 
 
@@ -65,3 +66,15 @@ def test_group_tasks_hold_a_block_of_queries(spark, monkeypatch):
     parts = jaccard.group_parts(members)
     assert [tuple(r) for r in parts.collect()] == [(0, 20, 0, True)]
     assert [r["id"] for r in jaccard.own_queries(members, parts).collect()] == [199]
+
+
+def test_shard_files_are_in_order(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "word " * i) for i in range(400)], "doc_id long, text string")
+    # Ranges are not merged, so later ones, which have longer texts, make larger files.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_token_files(docs, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "shards").glob("part-*.parquet"))
+    assert [i for f in files for ids in pq.read_table(f)["doc_ids"].to_pylist() for i in ids] == list(range(400))
