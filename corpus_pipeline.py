@@ -1,6 +1,6 @@
 """A training corpus from ``documents``: five stages, each written before the next one reads it.
 
-Language ID drops documents without a language, the n-gram join keeps one document of each group of
+Language ID drops documents without a letter, the n-gram join keeps one document of each group of
 near copies, decontamination drops documents that contain benchmark items, personal data is masked
 in the text, and what is left is packed into windows of token ids.
 
@@ -47,7 +47,7 @@ def by_key(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with text in some language; null texts and texts without a letter go."""
+    """Documents with a letter; only null texts and texts without a letter go, the model rejects none."""
     rows = keyed(docs)
     rejected = stored(predict(by_key(rows)).where(F.col("lang_pred") == UNKNOWN).select(F.col("doc_id").alias(KEY)))
     return rows.join(rejected, KEY, "left_anti").select(docs.columns)
