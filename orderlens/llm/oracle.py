@@ -54,5 +54,43 @@ SELECT doc_id, item_id, round(max(b / (total - b)), 6) AS similarity FROM both_c
 WHERE 100 * b >= 80 * (total - b) GROUP BY doc_id, item_id"""
 
 
+#: Rows of ``embeddings`` that take part, components as whole numbers at a scale.
+VECTORS = r"""
+vectors AS (
+  SELECT DISTINCT vec_id, {label} list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL {where}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+# All pairs of a query and another row, scored and ranked.
+TOP_K = (
+    "WITH "
+    + VECTORS.format(label="", scale=64, where="")
+    + r""",
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+)
+
+# All pairs of an anchor and another row, scored; positives ranked by label, negatives by window.
+HARD_NEGATIVES = (
+    "WITH "
+    + VECTORS.format(label="CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,", scale=256, where="AND label IS NOT NULL")
+    + r""",
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
+SELECT * FROM ranked WHERE rank <= 10"""
+)
+
+
 def statements() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION, "op10_jaccard": JACCARD}
+    return {"op5_decontamination": DECONTAMINATION, "op10_jaccard": JACCARD, "op11_hard_negatives": HARD_NEGATIVES, "op13_top_k": TOP_K}

@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, by query name."""
+"""The operators over their whole tables, by query name."""
 
 from collections.abc import Callable
 
@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm.decontamination import contaminated
 from orderlens.llm.edit_fingerprints import fingerprint_digest
+from orderlens.llm.hard_negatives import hard_negative_digest
+from orderlens.llm.impact_index import exact_top_k
 from orderlens.llm.jaccard import document_components
 from orderlens.llm.language import language_digest
 from orderlens.llm.oracle import statements
@@ -38,6 +40,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": over("documents", suffix_digest),
         "op9_urls": over("pages", judge),
         "op10_jaccard": over("documents", lambda docs: document_components(docs, 3, 90)),
+        "op11_hard_negatives": over("embeddings", hard_negative_digest),
+        "op13_top_k": over("embeddings", lambda rows: exact_top_k(rows, every=20, k=20, scale=64)),
     }
 
 
