@@ -92,5 +92,49 @@ SELECT * FROM ranked WHERE rank <= 10"""
 )
 
 
+# Sequences as lists. A conversation is a leaf where it is the smallest member of a childless node, and a
+# node's savings are counted at its smallest member, so subtree sums are sums over members.
+# crc32 goes bit by bit: a value over 255 brings in a byte, 0 shifts.
+PREFIX_TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+    {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(t ORDER BY i) AS turns FROM turns GROUP BY conv_id),
+bits AS (
+  SELECT conv_id, turns, list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda c: list_concat([CAST(256 + ascii(c) AS BIGINT)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, x: CASE WHEN x > 255 THEN xor(a, x - 256) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END,
+    4294967295::BIGINT) AS crc FROM own),
+families AS (SELECT *, xor(crc, 4294967295::BIGINT) % 4 AS h FROM bits),
+rebuilt AS (
+  SELECT f.conv_id, list_concat(coalesce(b.turns, [])[1:CAST(h AS INTEGER)], f.turns[CAST(h AS INTEGER) + 1:]) AS turns
+  FROM families f LEFT JOIN own b ON b.conv_id = f.conv_id - f.conv_id % 20),
+paths AS (SELECT conv_id, turns, len(turns) AS size, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+members AS (SELECT conv_id, size, depth, turns[1:depth] AS node, turns[1:depth - 1] AS above FROM paths),
+nodes AS (
+  SELECT node, any_value(above) AS above, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM members GROUP BY node, depth),
+children AS (SELECT above, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+counted AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children FROM nodes n
+  LEFT JOIN children c ON c.above = n.node AND c.depth = n.depth
+  LEFT JOIN nodes p ON p.node = n.above AND p.depth = n.depth - 1),
+carried AS (SELECT node, depth, conv_id, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, saved FROM counted),
+sums AS (
+  SELECT m.node, m.depth, sum(c.leaf) AS n_leaves, sum(c.saved) AS saved_tokens
+  FROM members m JOIN (SELECT a.conv_id, a.depth AS below, b.leaf, b.saved FROM members a JOIN carried b ON b.node = a.node AND b.depth = a.depth AND b.conv_id = a.conv_id) c
+    ON c.conv_id = m.conv_id AND c.below >= m.depth GROUP BY 1, 2)
+SELECT conv_id, CAST(n.depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256 FROM counted n JOIN sums s ON s.node = n.node AND s.depth = n.depth"""
+
+
 def statements() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION, "op10_jaccard": JACCARD, "op11_hard_negatives": HARD_NEGATIVES, "op13_top_k": TOP_K}
+    return {
+        "op5_decontamination": DECONTAMINATION,
+        "op10_jaccard": JACCARD,
+        "op11_hard_negatives": HARD_NEGATIVES,
+        "op12_prefix_trie": PREFIX_TRIE,
+        "op13_top_k": TOP_K,
+    }

@@ -13,6 +13,7 @@ from orderlens.llm.language import language_digest
 from orderlens.llm.oracle import statements
 from orderlens.llm.packing import packing_digest
 from orderlens.llm.pii import pii_digest
+from orderlens.llm.prefix_trie import prefix_trie
 from orderlens.llm.secrets import secret_digest
 from orderlens.llm.suffix_dedup import suffix_digest
 from orderlens.llm.tables import table
@@ -41,6 +42,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_urls": over("pages", judge),
         "op10_jaccard": over("documents", lambda docs: document_components(docs, 3, 90)),
         "op11_hard_negatives": over("embeddings", hard_negative_digest),
+        "op12_prefix_trie": over("conversations", prefix_trie),
         "op13_top_k": over("embeddings", lambda rows: exact_top_k(rows, every=20, k=20, scale=64)),
     }
 
