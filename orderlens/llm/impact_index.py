@@ -6,17 +6,18 @@ sign of a query's component. The impact of a posting is how far its component li
 Impacts are quantised to ``LEVELS`` levels; the postings of one level form a segment.
 
 A query takes the segments of all its lists by descending weighted impact and adds the quantised impact
-to the accumulators of the segment's rows. What the segments ahead can still add, and what quantising
-left out, bound every score from above; the k-th largest accumulator and what the query found in earlier
-parts bound the k-th score from below. Processing stops only when few enough rows can still belong to
-the answer, all others being ruled out by the two bounds, or when no segment is left. The rows that can
-still belong are scored exactly.
+to the accumulators of the segment's rows. What the segments ahead can still add to a row, and what
+quantising left out, bound its score from above; the exact scores of the k leading rows and what the
+query found in earlier parts bound the k-th score from below. Processing stops only when few enough rows
+can still belong to the answer, all others being ruled out by the two bounds, or when no segment is left.
+The rows that can still belong are scored exactly.
 
 Defined results: null or non-finite components, null vectors and null vec_ids leave a row out; exact
 copies of a row count once; rows that share vec_id but not the vector are rows of their own, and none
 of them is a candidate of a query with that vec_id (such queries rank their answers each for itself);
 missing components of a shorter vector count as 0; ties go to the smaller vec_id; an empty table gives
-no rows; columns besides vec_id and the vector are ignored. Scores must stay below 2**62.
+no rows; columns besides vec_id and the vector are ignored. Components must be small: their largest product with
+a query's, times 8 and the squared length, must stay below 2**53.
 """
 
 import numpy as np
@@ -28,72 +29,88 @@ from orderlens.llm import vectors
 from orderlens.llm.tables import drop_stored, stored
 
 LEVELS = 255
-#: Steps in which a query goes down its impacts; after each one it looks at the bounds.
-STEPS = 8
+#: Shares of a part's postings after which a query looks at the bounds.
+LOOKS = (0.55, 0.65, 0.75, 1.0)
 #: Open rows, as a share of the part, from which scoring them is cheaper than going on.
-OPEN_SHARE = 1 / 64
+OPEN_SHARE = 1 / 8
+
+#: Accumulators are float64, which holds whole numbers up to here.
+EXACT = 1 << 53
 
 FOUND = "query_id long, query_key long, vec_id long, score long"
 
 
 class ImpactIndex:
-    """The rows of one part: ids and whole-number vectors."""
+    """The rows of one part: ids and whole-number vectors.
+
+    The lists of dimension d are number d for positive components of a query and ``dims + d`` for
+    negative ones; postings stand by falling level, and level l ends at ``upto[list, l]``.
+    """
 
     def __init__(self, ids: np.ndarray, v: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.v = ids[order], v[order]
         self.low, self.high = self.v.min(axis=0), self.v.max(axis=0)
         self.step = np.maximum(1, -(-(self.high - self.low) // LEVELS))
-        #: Rows of each dimension by rising component, and the level of each under both signs.
-        self.rows = np.argsort(self.v, axis=0, kind="stable").T.copy()
-        sorted_v = np.take_along_axis(self.v, self.rows.T, axis=0).T
-        self.up = (sorted_v - self.low[:, None]) // self.step[:, None]
-        self.down = (self.high[:, None] - sorted_v) // self.step[:, None]
-        # Segments: where the postings of level l and above begin (rising) or end (falling).
-        at = np.arange(LEVELS + 2)
-        self.up_from = np.array([np.searchsorted(x, at, "left") for x in self.up])
-        self.down_upto = np.array([np.searchsorted(-x, -at, "right") for x in self.down])
+        levels = np.concatenate([(self.v - self.low) // self.step, (self.high - self.v) // self.step], axis=1).T.astype(np.uint8)
+        self.rows = np.argsort(LEVELS - levels, axis=1, kind="stable")
+        self.tops = levels.max(axis=1).astype(np.int64)
+        counts = np.array([np.bincount(x, minlength=self.tops.max() + 2) for x in levels])
+        self.upto = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1]
 
     def top(self, q: np.ndarray, k: int, own: int, least: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows, best first, without id ``own`` and scores below ``least``."""
-        weight = np.abs(q)
-        used = np.flatnonzero(weight)
-        base = int((np.maximum(q, 0) * self.low + np.minimum(q, 0) * self.high).sum())
-        unit = weight * self.step
-        slack = int((weight * (self.step - 1)).sum())
-        tops = np.where(q > 0, self.up[:, -1], self.down[:, 0])
-        score = np.zeros(len(self.ids), np.int64)
-        alive = self.ids != own
-        score[~alive] = -vectors.LARGEST
-        floor = None if least is None else least - base
-        most = int((unit[used] * tops[used]).max()) if len(used) else 0
-        left = tops + 1  # levels from here on up are done
-        open_rows = np.flatnonzero(alive)
-        for step in range(1, STEPS + 1):
-            if len(open_rows) <= max(k, int(len(self.ids) * OPEN_SHARE)):
-                break
-            cut = most * (STEPS - step) // STEPS
-            for d in used:
-                to = max(1, cut // int(unit[d]) + 1)
-                if to >= left[d]:
-                    continue
-                if q[d] > 0:
-                    part = slice(self.up_from[d, to], self.up_from[d, left[d]])
-                    score[self.rows[d, part]] += self.up[d, part] * unit[d]
-                else:
-                    part = slice(self.down_upto[d, left[d]], self.down_upto[d, to])
-                    score[self.rows[d, part]] += self.down[d, part] * unit[d]
-                left[d] = to
-            ahead = int((unit[used] * (left[used] - 1)).sum())
-            if alive.sum() >= k:
-                kth = int(np.partition(score, -k)[-k])
-                floor = kth if floor is None else max(floor, kth)
-            open_rows = np.flatnonzero(alive & (score >= (floor if floor is not None else -vectors.LARGEST) - ahead - slack))
+        open_rows = np.flatnonzero(self.ids != own)
+        few = max(k, int(len(self.ids) * OPEN_SHARE))
+        if len(open_rows) > few:
+            open_rows = self.undecided(q, k, open_rows, few, least)
         exact = self.v[open_rows] @ q
         keep = np.flatnonzero(exact >= least) if least is not None else np.arange(len(exact))
         best = keep[np.lexsort((self.ids[open_rows[keep]], -exact[keep]))[:k]]
         return self.ids[open_rows[best]], exact[best]
 
+    def undecided(self, q: np.ndarray, k: int, others: np.ndarray, few: int, least: int | None) -> np.ndarray:
+        """Those of the rows ``others`` that can still be among the k best, or reach ``least``."""
+        used = np.flatnonzero(q)
+        lists = used + len(q) * (q[used] < 0)
+        weight = np.abs(q[used])
+        unit, tops = weight * self.step[used], self.tops[lists]
+        base = int((np.maximum(q, 0) * self.low + np.minimum(q, 0) * self.high).sum())
+        slack = int((weight * (self.step[used] - 1)).sum())  # what quantising can have left out
+        # An accumulator holds the rows' sum of impacts and, in units of ``one``, how many lists named it.
+        one = 1 << int((unit * tops).sum()).bit_length()
+        both = np.zeros(len(self.ids))
+        # Segments by falling impact, and how many postings there are down to each.
+        level = np.arange(self.upto.shape[1] - 2, 0, -1)
+        size = self.upto[lists][:, level] - self.upto[lists][:, level + 1]
+        impact = unit[:, None] * level
+        order = np.argsort(-impact[size > 0], kind="stable")
+        falling, postings = impact[size > 0][order], np.cumsum(size[size > 0][order])
+        done, floor = tops + 1, least  # levels from ``done`` on up are processed
+        for share in LOOKS:
+            if not len(falling):
+                break
+            cut = int(falling[min(np.searchsorted(postings, share * postings[-1]), len(falling) - 1)])
+            to = np.minimum(np.maximum(1, -(-cut // unit)), done)  # all segments with this impact or more
+            first, end = self.upto[lists, done].tolist(), self.upto[lists, to].tolist()
+            now = (level >= to[:, None]) & (level < done[:, None])
+            rows = np.concatenate([self.rows[x, i:j] for x, i, j in zip(lists.tolist(), first, end, strict=True)])
+            both += np.bincount(rows, np.repeat((impact[now] + one).astype(np.float64), size[now]), len(both))
+            done = to
+            seen, score = np.divmod(both[others].astype(np.int64), one)
+            # A list that was begun adds at most ``ahead`` to a row it has not named yet, others their top.
+            begun, bound = done <= tops, unit * (done - 1)
+            ahead = int(bound[begun].max(initial=0))
+            most = score + ahead * (int(begun.sum()) - seen) + int(bound[~begun].sum()) + base + slack
+            # The exact scores of the leaders are a proof that the k-th best has no less than theirs.
+            leaders = others[np.argpartition(-most, k - 1)[:k]]
+            reached = int((self.v[leaders] @ q).min())
+            floor = reached if floor is None else max(floor, reached)
+            others = others[most >= floor]
+            if len(others) <= few:
+                break
+        return others
+
 
 def exact_top_k(rows: DataFrame, every: int, k: int, scale: int, vector: str = "embedding", part_rows: int = vectors.PART_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of each query, a row whose vec_id ``every`` divides."""
@@ -107,7 +124,7 @@ def exact_top_k(rows: DataFrame, every: int, k: int, scale: int, vector: str = "
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         q, v = vectors.matrices(left, right)
-        if float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * 4 * max(1, v.shape[1]) >= vectors.LARGEST:
+        if float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * 8 * max(1, v.shape[1]) ** 2 >= EXACT:
             raise ValueError("scores do not fit: components are too large")
         index = ImpactIndex(vectors.column(right, "vec_id"), v) if v.shape[1] else None
         out: list[list[np.ndarray]] = [[], [], [], []]
