@@ -49,22 +49,27 @@ class ImpactIndex:
 
     def __init__(self, ids: np.ndarray, v: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.v = ids[order], v[order]
-        self.low, self.high = self.v.min(axis=0), self.v.max(axis=0)
+        self.ids, v = ids[order], v[order]
+        self.exact = v.astype(np.float64)
+        self.low, self.high = v.min(axis=0), v.max(axis=0)
         self.step = np.maximum(1, -(-(self.high - self.low) // LEVELS))
-        levels = np.concatenate([(self.v - self.low) // self.step, (self.high - self.v) // self.step], axis=1).T.astype(np.uint8)
+        levels = np.concatenate([(v - self.low) // self.step, (self.high - v) // self.step], axis=1).T.astype(np.uint8)
         self.rows = np.argsort(LEVELS - levels, axis=1, kind="stable")
         self.tops = levels.max(axis=1).astype(np.int64)
         counts = np.array([np.bincount(x, minlength=self.tops.max() + 2) for x in levels])
         self.upto = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1]
 
+    def scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Exact scores; float64 holds them and all their partial sums."""
+        return (self.exact[rows] @ q.astype(np.float64)).astype(np.int64)
+
     def top(self, q: np.ndarray, k: int, own: int, least: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best rows, best first, without id ``own`` and scores below ``least``."""
         open_rows = np.flatnonzero(self.ids != own)
         few = max(k, int(len(self.ids) * OPEN_SHARE))
         if len(open_rows) > few:
             open_rows = self.undecided(q, k, open_rows, few, least)
-        exact = self.v[open_rows] @ q
+        exact = self.scores(open_rows, q)
         keep = np.flatnonzero(exact >= least) if least is not None else np.arange(len(exact))
         best = keep[np.lexsort((self.ids[open_rows[keep]], -exact[keep]))[:k]]
         return self.ids[open_rows[best]], exact[best]
@@ -104,7 +109,7 @@ class ImpactIndex:
             most = score + ahead * (int(begun.sum()) - seen) + int(bound[~begun].sum()) + base + slack
             # The exact scores of the leaders are a proof that the k-th best has no less than theirs.
             leaders = others[np.argpartition(-most, k - 1)[:k]]
-            reached = int((self.v[leaders] @ q).min())
+            reached = int(self.scores(leaders, q).min())
             floor = reached if floor is None else max(floor, reached)
             others = others[most >= floor]
             if len(others) <= few:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a part and queries of a block, about; a hash deals them.
-PART_ROWS, BLOCK_QUERIES = 8192, 1024
+PART_ROWS, BLOCK_QUERIES = 16384, 1024
 #: The parts of a round end at this multiple of where those of the round before it ended.
 GROWTH = 8
 #: Sums of products must stay below this; larger components end the job instead of wrapping around.
