@@ -4,8 +4,8 @@ Equal sets are one. The distinct sets are partitioned into groups of similar one
 the union of the (prefix) tokens of every group, and the overlap of a set with a group's union bounds
 its overlap with each member, so only groups that reach the bound are opened. In a fixed order of all
 tokens two similar sets share ``SHARED`` tokens within their prefixes (prefix filter), so the matrix
-holds prefixes only. The order puts common tokens last; any order gives the same
-links, a good one gives fewer candidates.
+holds prefixes only. The order goes by the number of rows that have a token, counted over all rows, so a
+passage of many documents is last and stays out of their prefixes.
 
 1. Sets that share a rare token with the smallest id that has it are tested against such an id; what
    is linked forms the groups (connected components of the tested links).
@@ -25,17 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.components import components
 from orderlens.llm.hashing import Powers, mix, window_hashes
-from orderlens.llm.tables import in_slices, stored
+from orderlens.llm.tables import drop_stored, in_slices, stored
 
-#: Tokens that are known to be common, at most; they only guide the order of tokens.
-COMMON_TOKENS = 500_000
-#: Prefixes that make a token a common one.
-COMMON_FROM = 3
+#: Rows that have a token, from which on it is ordered by their number; rarer ones go first, by hash.
+COMMON_FROM = 16
+#: Characters of a block of rows, and tokens counted by one task, about.
+BLOCK_CHARS, BUCKET_TOKENS = 1 << 23, 1 << 20
 #: Prefix tokens that a set must share with a group's union.
 SHARED = 3
 #: Members of a group, and queries to it, that one task compares; a hash deals them, so about as many.
@@ -78,7 +79,7 @@ def text_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Ar
     powers = Powers()
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        for low, high in in_slices(texts, 1 << 21):
+        for low, high in in_slices(texts, BLOCK_CHARS):
             yield batch.column("doc_id").slice(low, high - low), gram_sets(texts[low:high], n, powers)
 
 
@@ -86,50 +87,99 @@ def prefix_size(n: int, percent: int) -> int:
     return min(n, n - -(-percent * n // 100) + SHARED)
 
 
-def common_tokens(docs: DataFrame, n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, count): tokens that several prefixes share when all are taken in order of their hash.
+def token_sets(docs: DataFrame, n: int) -> DataFrame:
+    """(blk, doc_id, size, set_hash, sketch, tokens) per row, stored; 128 bits of hash tell sets apart.
 
-    Counted over all documents; the commonest ones reach the driver, as many as ``COMMON_TOKENS``.
+    Rows of about ``BLOCK_CHARS`` characters share a block number; ``tokens`` packs sorted 64-bit numbers.
     """
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in text_rows(batches, n):
-            parts = [np.sort(mix(u))[: prefix_size(len(u), percent)] for u in sets]
-            token, count = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(count)], ["token", "n"])
-
-    counts = docs.select("doc_id", "text").mapInArrow(tokens, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    found = counts.where(F.col("n") >= COMMON_FROM).orderBy(F.desc("n"), "token").limit(COMMON_TOKENS).toPandas()
-    token, count = found["token"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
-    order = np.argsort(token)
-    return token[order], count[order]
-
-
-def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, set_hash, sketch, prefix) per row; 128 bits of hash tell sets apart."""
-    shared = docs.sparkSession.sparkContext.broadcast(common_tokens(docs, n, percent))
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, count = shared.value
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blk = TaskContext.get().partitionId() << 32
         for ids, sets in text_rows(batches, n):
-            hashes, prefixes, sketches = [], [], []
+            blk += 1
+            hashes = []
             for u in sets:
                 spread = mix(u)
                 two = (np.bitwise_xor.reduce(spread) if len(u) else 0, np.add.reduce(mix(spread ^ np.uint64(7))) if len(u) else 0)
                 hashes.append(np.array(two, np.uint64).tobytes())
-                keep = prefix_size(len(u), percent)
-                place = np.zeros(len(u), np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, spread), len(common) - 1)
-                    place = np.where(common[at] == spread, count[at], 0)
-                prefixes.append(u[np.lexsort((spread, place))[:keep]].view(np.int64))
-                sketches.append(sketch(u))
-            columns = [ids, pa.array([len(u) for u in sets], pa.int64()), pa.array(hashes, pa.binary()), pa.array(sketches, pa.binary())]
-            columns.append(pa.array(prefixes, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "set_hash", "sketch", "prefix"])
+            columns = [pa.array(np.full(len(sets), blk)), ids, pa.array([len(u) for u in sets], pa.int64()), pa.array(hashes, pa.binary())]
+            columns += [pa.array([sketch(u) for u in sets], pa.binary()), pa.array([u.tobytes() for u in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["blk", "doc_id", "size", "set_hash", "sketch", "tokens"])
+
+    schema = "blk long, doc_id long, size long, set_hash binary, sketch binary, tokens binary"
+    return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets_of, schema), "lz4")
+
+
+def unpacked(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
+
+
+def common_tokens(sets: DataFrame) -> DataFrame:
+    """(blk, tokens, counts): for every block its tokens that at least ``COMMON_FROM`` rows have, and in how many.
+
+    Exact counts over all rows. Tokens go to the counting tasks in packed lists, summed within a batch, and
+    only common ones come back, to the blocks that have them.
+    """
+    total = sets.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET_TOKENS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, blks = unpacked(batch.column("tokens")), batch.column("blk").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(blks)) + 1), len(blks)]
+            rows = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                token, n = np.unique(np.concatenate(tokens[a:b]), return_counts=True)
+                bucket = (mix(token) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                here, starts = np.unique(bucket[order], return_index=True)
+                ends = [*starts[1:], len(order)]
+                rows += [(bucket, blks[a], token[order[i:j]].tobytes(), n[order[i:j]].astype(np.int32).tobytes()) for bucket, i, j in zip(here, starts, ends, strict=True)]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "blk", "tokens", "counts"])
+
+    def count(lists: pa.Table) -> pa.Table:
+        tokens, counts = unpacked(lists.column("tokens")), [np.frombuffer(x, np.int32) for x in lists.column("counts").to_pylist()]
+        _, at = np.unique(np.concatenate(tokens), return_inverse=True)
+        n = np.bincount(at, np.concatenate(counts)).astype(np.int64)[at]
+        out: list[list] = [[], [], []]
+        ends = np.cumsum([len(t) for t in tokens])
+        for blk, token, own in zip(lists.column("blk").to_pylist(), tokens, np.split(n, ends[:-1]), strict=True):
+            common = own >= COMMON_FROM
+            if common.any():
+                for part, values in zip(out, (blk, token[common].tobytes(), own[common].tobytes()), strict=True):
+                    part.append(values)
+        return pa.table({"blk": pa.array(out[0], pa.int64()), "tokens": pa.array(out[1], pa.binary()), "counts": pa.array(out[2], pa.binary())})
+
+    dealt = sets.where("size > 0").select("blk", "tokens").mapInArrow(deal, "bucket long, blk long, tokens binary, counts binary")
+    return dealt.groupBy("bucket").applyInArrow(count, "blk long, tokens binary, counts binary")
+
+
+def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(doc_id, size, set_hash, sketch, prefix) per row, stored; the prefix holds the set's rarest tokens."""
+    sets = token_sets(docs, n)
+    common = stored(common_tokens(sets))
+
+    def features(left: pa.Table, right: pa.Table) -> pa.Table:
+        tokens = np.concatenate([np.zeros(0, np.uint64), *unpacked(right.column("tokens"))])
+        counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in right.column("counts").to_pylist())])
+        tokens, first = np.unique(tokens, return_index=True)
+        counts = counts[first]
+        prefixes = []
+        for u in unpacked(left.column("tokens")):
+            place = np.zeros(len(u), np.int64)
+            if len(tokens):
+                at = np.minimum(np.searchsorted(tokens, u), len(tokens) - 1)
+                place = np.where(tokens[at] == u, counts[at], 0)
+            prefixes.append(u[np.lexsort((mix(u), place))[: prefix_size(len(u), percent)]].view(np.int64))
+        return left.select(["doc_id", "size", "set_hash", "sketch"]).append_column("prefix", pa.array(prefixes, pa.list_(pa.int64())))
 
     schema = "doc_id long, size long, set_hash binary, sketch binary, prefix array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(features, schema)
+    found = stored(sets.groupBy("blk").cogroup(common.groupBy("blk")).applyInArrow(features, schema))
+    drop_stored(common)
+    drop_stored(sets)
+    return found
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -257,7 +307,7 @@ def own_queries(grouped: DataFrame, parts: DataFrame) -> DataFrame:
 
 def document_components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id): links join sets with ``100 * both >= percent * any``."""
-    features = stored(document_features(docs, n, percent))
+    features = document_features(docs, n, percent)
     some = features.where("size > 0 and doc_id is not null")
     sets = some.groupBy("set_hash").agg(
         F.min("doc_id").alias("id"), F.min_by("size", "doc_id").alias("size"), F.min_by("sketch", "doc_id").alias("sketch"), F.min_by("prefix", "doc_id").alias("prefix")

@@ -14,7 +14,9 @@ loose candidates nothing is added; an empty table gives no rows; other columns a
 """
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -71,11 +73,17 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, last))
 
 
+def whole(digits: str, most: int) -> int:
+    """The value of digits of any number, if it is at most ``most``; else ``most`` + 1."""
+    significant = digits.lstrip("0")
+    return min(most + 1, int(significant or 0)) if len(significant) <= len(str(most)) else most + 1
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) of the four base kinds by kind, then start."""
     spans = [(0, a, b) for a, b in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(whole(p, 255) <= 255 for p in m[0].split(".")):
             spans.append((1, *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -92,10 +100,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates of the loose kinds that touch no base span."""
     found = []
+    # Where a candidate ends, the base spans that begin before it are a prefix of this list; the farthest of their ends decides.
+    begins, reach = zip(*sorted((a, b) for _, a, b in base), strict=True) if base else ((), ())
+    reach = list(accumulate(reach, max))
     for number, (expression, mark) in enumerate(((LOCAL_PHONE, None), (SPELLED, "at"), (US_SSN, "-")), len(BASE)):
         if mark is None or mark in text:
             for m in expression.finditer(text):
-                if not any(a < m.end() and m.start() < b for _, a, b in base):
+                before = bisect_left(begins, m.end())
+                if not before or reach[before - 1] <= m.start():
                     found.append((number, *m.span()))
     return found
 
@@ -116,7 +128,7 @@ def gazetteer(kind: str, value: str, digits: str) -> int:
     if kind in ("email", "spelled_email"):
         return 1 if re.split(r"[^A-Za-z]", value)[-1].lower() in DOMAINS else 0
     if kind == "ip":
-        return -1 if int(value.split(".")[0]) in (0, 127, *range(224, 256)) else 1
+        return -1 if whole(value.split(".")[0], 255) in (0, 127, *range(224, 256)) else 1
     if kind == "card":
         return 1 if digits[0] in "3456" or 2221 <= int(digits[:4]) <= 2720 else -1
     if kind == "phone":
