@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +36,8 @@ from orderlens.llm.tables import drop_stored, in_slices, stored
 
 #: Rows that have a token, from which on it is ordered by their number; rarer ones go first, by hash.
 COMMON_FROM = 16
-#: Characters of a block of rows, and tokens counted by one task, about.
-BLOCK_CHARS, BUCKET_TOKENS = 1 << 23, 1 << 20
+#: Characters of a block of rows, and of the texts for each group of tokens that is counted at once.
+BLOCK_CHARS, BUCKET_CHARS = 1 << 23, 1 << 23
 #: Prefix tokens that a set must share with a group's union.
 SHARED = 3
 #: Members of a group, and queries to it, that one task compares; a hash deals them, so about as many.
@@ -75,72 +76,67 @@ def gram_sets(texts: list[str], n: int, powers: Powers) -> list[np.ndarray]:
     return out
 
 
-def text_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
-    powers = Powers()
-    for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for low, high in in_slices(texts, BLOCK_CHARS):
-            yield batch.column("doc_id").slice(low, high - low), gram_sets(texts[low:high], n, powers)
+def sets_of(texts: list[str | None], n: int, powers: Powers) -> Iterator[np.ndarray]:
+    """The n-gram set of each text, made a slice of texts at a time."""
+    texts = [t or "" for t in texts]
+    for low, high in in_slices(texts, 1 << 21):
+        yield from gram_sets(texts[low:high], n, powers)
 
 
 def prefix_size(n: int, percent: int) -> int:
     return min(n, n - -(-percent * n // 100) + SHARED)
 
 
-def token_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(blk, doc_id, size, set_hash, sketch, tokens) per row, stored; 128 bits of hash tell sets apart.
+def blocks(docs: DataFrame) -> DataFrame:
+    """(blk, doc_id, text), stored: rows of about ``BLOCK_CHARS`` characters share a block number."""
 
-    Rows of about ``BLOCK_CHARS`` characters share a block number; ``tokens`` packs sorted 64-bit numbers.
-    """
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blk = TaskContext.get().partitionId() << 32
-        for ids, sets in text_rows(batches, n):
-            blk += 1
-            hashes = []
-            for u in sets:
-                spread = mix(u)
-                two = (np.bitwise_xor.reduce(spread) if len(u) else 0, np.add.reduce(mix(spread ^ np.uint64(7))) if len(u) else 0)
-                hashes.append(np.array(two, np.uint64).tobytes())
-            columns = [pa.array(np.full(len(sets), blk)), ids, pa.array([len(u) for u in sets], pa.int64()), pa.array(hashes, pa.binary())]
-            columns += [pa.array([sketch(u) for u in sets], pa.binary()), pa.array([u.tobytes() for u in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["blk", "doc_id", "size", "set_hash", "sketch", "tokens"])
+        for batch in batches:
+            sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).cumsum()
+            own = blk + (sizes - 1) // BLOCK_CHARS
+            blk = int(own[-1]) + 1 if len(own) else blk
+            yield pa.RecordBatch.from_arrays([pa.array(own), batch.column("doc_id"), batch.column("text")], ["blk", "doc_id", "text"])
 
-    schema = "blk long, doc_id long, size long, set_hash binary, sketch binary, tokens binary"
-    return stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets_of, schema), "lz4")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return stored(rows.mapInArrow(numbered, "blk long, doc_id long, text string"))
 
 
 def unpacked(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
-def common_tokens(sets: DataFrame) -> DataFrame:
+def common_tokens(texts: DataFrame, n: int) -> DataFrame:
     """(blk, tokens, counts): for every block its tokens that at least ``COMMON_FROM`` rows have, and in how many.
 
     Exact counts over all rows. Tokens go to the counting tasks in packed lists, summed within a batch, and
     only common ones come back, to the blocks that have them.
     """
-    total = sets.agg(F.sum("size")).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_TOKENS))
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(1, -(-chars // BUCKET_CHARS))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
         for batch in batches:
-            tokens, blks = unpacked(batch.column("tokens")), batch.column("blk").to_numpy()
+            tokens, blks = list(sets_of(batch.column("text").to_pylist(), n, powers)), batch.column("blk").to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(blks)) + 1), len(blks)]
             rows = []
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                token, n = np.unique(np.concatenate(tokens[a:b]), return_counts=True)
+                if not sum(map(len, tokens[a:b])):
+                    continue
+                token, held = np.unique(np.concatenate(tokens[a:b]), return_counts=True)
                 bucket = (mix(token) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 here, starts = np.unique(bucket[order], return_index=True)
                 ends = [*starts[1:], len(order)]
-                rows += [(bucket, blks[a], token[order[i:j]].tobytes(), n[order[i:j]].astype(np.int32).tobytes()) for bucket, i, j in zip(here, starts, ends, strict=True)]
+                rows += [(bucket, blks[a], token[order[i:j]].tobytes(), held[order[i:j]].astype(np.uint16 if held.max() < 1 << 16 else np.int64).tobytes()) for bucket, i, j in zip(here, starts, ends, strict=True)]
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "blk", "tokens", "counts"])
 
     def count(lists: pa.Table) -> pa.Table:
-        tokens, counts = unpacked(lists.column("tokens")), [np.frombuffer(x, np.int32) for x in lists.column("counts").to_pylist()]
+        tokens = unpacked(lists.column("tokens"))
+        counts = [np.frombuffer(x, np.uint16 if len(x) == 2 * len(t) else np.int64) for x, t in zip(lists.column("counts").to_pylist(), tokens, strict=True)]
         _, at = np.unique(np.concatenate(tokens), return_inverse=True)
         n = np.bincount(at, np.concatenate(counts)).astype(np.int64)[at]
         out: list[list] = [[], [], []]
@@ -152,33 +148,39 @@ def common_tokens(sets: DataFrame) -> DataFrame:
                     part.append(values)
         return pa.table({"blk": pa.array(out[0], pa.int64()), "tokens": pa.array(out[1], pa.binary()), "counts": pa.array(out[2], pa.binary())})
 
-    dealt = sets.where("size > 0").select("blk", "tokens").mapInArrow(deal, "bucket long, blk long, tokens binary, counts binary")
+    dealt = texts.select("blk", "text").mapInArrow(deal, "bucket long, blk long, tokens binary, counts binary")
     return dealt.groupBy("bucket").applyInArrow(count, "blk long, tokens binary, counts binary")
 
 
 def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, size, set_hash, sketch, prefix) per row, stored; the prefix holds the set's rarest tokens."""
-    sets = token_sets(docs, n)
-    common = stored(common_tokens(sets))
+    """(doc_id, size, set_hash, sketch, prefix) per row, stored; 128 bits of hash tell sets apart, the prefix holds a set's rarest tokens."""
+    texts = blocks(docs)
+    common = stored(common_tokens(texts, n))
 
     def features(left: pa.Table, right: pa.Table) -> pa.Table:
         tokens = np.concatenate([np.zeros(0, np.uint64), *unpacked(right.column("tokens"))])
         counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.int64) for x in right.column("counts").to_pylist())])
         tokens, first = np.unique(tokens, return_index=True)
         counts = counts[first]
-        prefixes = []
-        for u in unpacked(left.column("tokens")):
+        sizes, hashes, prefixes, sketches = [], [], [], []
+        for u in sets_of(left.column("text").to_pylist(), n, Powers()):
+            spread = mix(u)
+            two = (np.bitwise_xor.reduce(spread) if len(u) else 0, np.add.reduce(mix(spread ^ np.uint64(7))) if len(u) else 0)
+            hashes.append(np.array(two, np.uint64).tobytes())
             place = np.zeros(len(u), np.int64)
             if len(tokens):
                 at = np.minimum(np.searchsorted(tokens, u), len(tokens) - 1)
                 place = np.where(tokens[at] == u, counts[at], 0)
-            prefixes.append(u[np.lexsort((mix(u), place))[: prefix_size(len(u), percent)]].view(np.int64))
-        return left.select(["doc_id", "size", "set_hash", "sketch"]).append_column("prefix", pa.array(prefixes, pa.list_(pa.int64())))
+            prefixes.append(u[np.lexsort((spread, place))[: prefix_size(len(u), percent)]].view(np.int64))
+            sizes.append(len(u))
+            sketches.append(sketch(u))
+        columns = [left.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(sketches, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
+        return pa.Table.from_arrays(columns, ["doc_id", "size", "set_hash", "sketch", "prefix"])
 
     schema = "doc_id long, size long, set_hash binary, sketch binary, prefix array<long>"
-    found = stored(sets.groupBy("blk").cogroup(common.groupBy("blk")).applyInArrow(features, schema))
+    found = stored(texts.groupBy("blk").cogroup(common.groupBy("blk")).applyInArrow(features, schema))
     drop_stored(common)
-    drop_stored(sets)
+    drop_stored(texts)
     return found
 
 

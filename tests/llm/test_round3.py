@@ -20,11 +20,11 @@ def test_a_common_passage_stays_out_of_prefixes(spark):
 
 def test_counts_of_common_tokens_are_exact(spark):
     rows = [(i, " ".join(f"t{j}" for j in range(i % 40 + 1))) for i in range(200)]
-    sets = jaccard.token_sets(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 1)
+    texts = jaccard.blocks(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
     # Token j is in the rows with i % 40 >= j, five for each remainder.
     want = sorted(n for n in (5 * (40 - j) for j in range(40)) if n >= jaccard.COMMON_FROM)
     found = {}
-    for r in jaccard.common_tokens(sets).collect():
+    for r in jaccard.common_tokens(texts, 1).collect():
         for token, n in zip(jaccard.np.frombuffer(r["tokens"], "u8"), jaccard.np.frombuffer(r["counts"], "i8"), strict=True):
             assert found.setdefault(token, n) == n
     assert sorted(found.values()) == want
