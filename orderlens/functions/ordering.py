@@ -55,51 +55,3 @@ def running_totals(
     return parts.join(F.broadcast(offsets), [*keys, _PARTITION]).select(
         *df.columns, *[(F.col(t) + F.col(f"_before_{t}")).alias(t) for t in totals]
     )
-
-
-def value_counts(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
-    """group, value, n and ``upto`` (rows at or below the value); nulls left out.
-
-    Equal values collapse before any ordering, so a hot value costs one row.
-    """
-    counts = (
-        df.select(*group, F.col(value).alias("value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy(*group, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return running_totals(counts, [F.col("value").asc()], {"upto": F.col("n")}, group)
-
-
-def quantiles(counts: DataFrame, points: Mapping[str, float], group: Sequence[str] = ()) -> DataFrame:
-    """Exact linearly interpolated quantiles of a :func:`value_counts` table.
-
-    One row per group (one row in all without groups), one column per name in ``points``.
-    """
-    size = F.max("upto").alias("_rows")
-    if group:
-        # One row per group; groups are few by contract (segments, column names).
-        rows = counts.join(F.broadcast(counts.groupBy(*group).agg(size)), list(group))
-    else:
-        rows = counts.withColumn("_rows", counts.agg(size).scalar())
-
-    picks = []
-    for name, q in points.items():
-        position = (F.col("_rows") - 1) * F.lit(float(q))
-        low = F.floor(position)
-        high = F.least(low + 1, F.col("_rows") - 1)
-        for side, at in (("lo", low), ("hi", high)):
-            covers = (F.col("upto") - F.col("n") <= at) & (at < F.col("upto"))
-            picks.append(F.max(F.when(covers, F.col("value"))).cast("double").alias(f"{name}_{side}"))
-        picks.append(F.max(position - low).alias(f"{name}_part"))
-    ends = rows.groupBy(*group).agg(*picks)
-    return ends.select(
-        *group,
-        *[
-            (
-                F.col(f"{name}_lo")
-                + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * F.col(f"{name}_part")
-            ).alias(name)
-            for name in points
-        ],
-    )

@@ -1,11 +1,11 @@
 """Unusual days and lines; input is the sales population."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import exact_sum
-from orderlens.functions.ordering import quantiles, value_counts
+from orderlens.functions.quantiles import quantile_limits
 
 Z_LIMIT = 2.5
 IQR_FACTOR = 1.5
@@ -36,29 +36,22 @@ def daily_anomalies(sales: DataFrame, limit: float = Z_LIMIT) -> DataFrame:
     )
 
 
-def iqr_bounds(counts: DataFrame, factor: float = IQR_FACTOR) -> DataFrame:
-    quarter = quantiles(counts, {"q1": 0.25, "q3": 0.75})
-    spread = factor * (F.col("q3") - F.col("q1"))
-    return quarter.select(
-        "q1", "q3", (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper")
-    )
+def iqr_fences(sales: DataFrame, factor: float = IQR_FACTOR) -> tuple[Column, Column]:
+    """The constants below and above which a line's amount is an outlier."""
+    quarter = quantile_limits(sales, "TotalAmount", {"q1": 0.25, "q3": 0.75})
+    spread = factor * (quarter["q3"] - quarter["q1"])
+    return quarter["q1"] - spread, quarter["q3"] + spread
 
 
 def iqr_outliers(sales: DataFrame, factor: float = IQR_FACTOR) -> DataFrame:
     """Lines whose amount lies strictly outside the quartile fences."""
-    fence = (
-        iqr_bounds(value_counts(sales, "TotalAmount"), factor)
-        .select(F.struct("lower", "upper"))
-        .scalar()
-    )
+    lower, upper = iqr_fences(sales, factor)
     amount = F.col("TotalAmount")
-    return sales.filter((amount < fence["lower"]) | (amount > fence["upper"])).select(
+    return sales.filter((amount < lower) | (amount > upper)).select(
         "InvoiceNo", "StockCode", "CustomerID", "InvoiceDate", "Quantity", "UnitPrice", "TotalAmount"
     )
 
 
 def amount_hist(sales: DataFrame, bins: int = 100, factor: float = IQR_FACTOR) -> DataFrame:
     """Line amounts up to the upper fence."""
-    counts = value_counts(sales, "TotalAmount")
-    upper = iqr_bounds(counts, factor).select("upper").scalar()
-    return histogram(counts, "value", bins, keep_below=upper, weight="n")
+    return histogram(sales, "TotalAmount", bins, keep_below=iqr_fences(sales, factor)[1])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.histogram import bin_edges, bin_index, histogram
 from orderlens.functions.numeric import exact_sum, percent
-from orderlens.functions.ordering import quantiles, value_counts
+from orderlens.functions.quantiles import quantile_limits, quantiles
 
 
 def customer_360(segments: DataFrame, features: DataFrame, customers: DataFrame) -> DataFrame:
@@ -120,20 +120,19 @@ def preferred_hour(f: DataFrame) -> DataFrame:
 
 def aov_hist(f: DataFrame, bins: int = 50, q: float = 0.95) -> DataFrame:
     """All order values in equal bins; the q-quantile is the view limit, nothing is cut."""
-    counts = value_counts(f, "avg_order_value")
-    limit = quantiles(counts, {"q": q}).scalar()
-    return histogram(counts, "value", bins, weight="n").withColumn("view_limit", limit)
+    limit = quantile_limits(f, "avg_order_value", {"q": q})["q"]
+    return histogram(f, "avg_order_value", bins).withColumn("view_limit", limit)
 
 
 def items_box(f: DataFrame, q: float = 0.95) -> DataFrame:
     """Five-number summary per segment and the overall q-quantile as view limit."""
-    per_segment = value_counts(f, "avg_items_per_order", ["Segment"])
     quarters = quantiles(
-        per_segment,
+        f,
+        "avg_items_per_order",
         {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0},
         ["Segment"],
     )
-    limit = quantiles(value_counts(f, "avg_items_per_order"), {"q": q}).scalar()
+    limit = quantile_limits(f, "avg_items_per_order", {"q": q})["q"]
     return quarters.select(
         "Segment", "q1", "median", "q3", "min", "max", limit.alias("view_limit")
     )

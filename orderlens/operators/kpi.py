@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import EXACT, exact_sum, percent
-from orderlens.functions.ordering import quantiles, value_counts
+from orderlens.functions.quantiles import quantile_limits
 from orderlens.functions.times import year_month
 from orderlens.operators.customers import revenue_per_customer
 from orderlens.operators.orders import median_and_mean
@@ -73,9 +73,9 @@ def executive_kpis(sales: DataFrame) -> DataFrame:
 
 def clv_hist(sales: DataFrame, q: float = 0.99, bins: int = 50) -> DataFrame:
     """Revenue per customer; customers above the q-quantile are left out of the picture."""
-    counts = value_counts(revenue_per_customer(sales), "revenue")
-    limit = quantiles(counts, {"q": q}).scalar()
-    return histogram(counts, "value", bins, keep_below=limit, weight="n")
+    revenues = revenue_per_customer(sales)
+    limit = quantile_limits(revenues, "revenue", {"q": q})["q"]
+    return histogram(revenues, "revenue", bins, keep_below=limit)
 
 
 def clv_stats(sales: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def revenue_vs_orders(sales: DataFrame, q: float = 0.99) -> DataFrame:
         exact_sum("TotalAmount").alias("Revenue"),
         F.countDistinct("InvoiceNo").alias("Orders"),
     )
-    revenue_limit = quantiles(value_counts(customers, "Revenue"), {"q": q}).scalar()
+    revenue_limit = quantile_limits(customers, "Revenue", {"q": q})["q"]
     orders_limit = customers.agg(F.percentile("Orders", F.lit(q))).scalar()
     return customers.withColumns(
         {"revenue_limit": revenue_limit, "orders_limit": orders_limit}

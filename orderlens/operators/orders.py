@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.numeric import EXACT, exact_mean, exact_sum, percent
-from orderlens.functions.ordering import quantiles, value_counts
+from orderlens.functions.numeric import exact_mean, exact_sum, percent
+from orderlens.functions.quantiles import quantile_limits
 from orderlens.functions.times import year_month
 from orderlens.operators.products import clipped_histogram
 
@@ -30,13 +30,8 @@ def order_size_hist(sales: DataFrame, q: float = 0.95, bins: int = 50) -> DataFr
 
 
 def median_and_mean(values: DataFrame, value: str) -> DataFrame:
-    """From the table of distinct values, so the source is computed once."""
-    counts = value_counts(values, value)
-    median = quantiles(counts, {"median": 0.5}).scalar()
-    total = F.sum(F.col("value").cast(EXACT) * F.col("n")).cast("double")
-    return counts.agg(
-        F.try_divide(total, F.sum("n").cast("double")).alias("mean")
-    ).select(median.alias("median"), "mean")
+    median = quantile_limits(values, value, {"median": 0.5})["median"]
+    return values.agg(exact_mean(value).alias("mean")).select(median.alias("median"), "mean")
 
 
 def order_size_stats(sales: DataFrame) -> DataFrame:

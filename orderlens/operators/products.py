@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import exact_mean, exact_sum
-from orderlens.functions.ordering import quantiles, value_counts
+from orderlens.functions.quantiles import quantile_limits
 from orderlens.operators.customers import count_stats
 
 
@@ -33,9 +33,8 @@ def top_products_quantity(sales: DataFrame, k: int = 20) -> DataFrame:
 
 def clipped_histogram(df: DataFrame, value: str, q: float, bins: int) -> DataFrame:
     """Histogram after moving values above their q-quantile down to it."""
-    counts = value_counts(df, value)
-    limit = quantiles(counts, {"q": q}).scalar()
-    return histogram(counts, "value", bins, clip=limit, weight="n")
+    limit = quantile_limits(df, value, {"q": q})["q"]
+    return histogram(df, value, bins, clip=limit)
 
 
 def price_hist(sales: DataFrame, q: float = 0.95, bins: int = 50) -> DataFrame:
@@ -43,7 +42,7 @@ def price_hist(sales: DataFrame, q: float = 0.95, bins: int = 50) -> DataFrame:
 
 
 def price_stats(sales: DataFrame) -> DataFrame:
-    median = quantiles(value_counts(sales, "UnitPrice"), {"median": 0.5}).scalar()
+    median = quantile_limits(sales, "UnitPrice", {"median": 0.5})["median"]
     return sales.agg(
         exact_mean("UnitPrice").alias("mean"),
         F.min("UnitPrice").alias("min"),

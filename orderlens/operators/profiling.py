@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.numeric import percent, sample_kurtosis, sample_skewness
-from orderlens.functions.ordering import quantiles, value_counts
+from orderlens.functions.quantiles import quantile_limits
 from orderlens.functions.times import whole_days, year_month
 from orderlens.operators.cleaning import is_cancellation
 from orderlens.schema import DUPLICATE_KEYS, LINE_COLUMNS, NUMERIC_COLUMNS, TEXT_COLUMNS
@@ -88,26 +88,21 @@ def duplicate_report(raw: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> Da
 def numeric_describe(raw: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
     def moments_of(c: str):
         value = F.col(c).cast("double")
+        quarters = quantile_limits(raw, c, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
         return F.struct(
             F.lit(c).alias("column"),
             F.count(value).alias("count"),
             F.avg(value).alias("mean"),
             F.stddev(value).alias("std"),
             F.min(value).alias("min"),
+            *[q.alias(name) for name, q in quarters.items()],
             F.max(value).alias("max"),
             sample_skewness(value).alias("skew"),
             sample_kurtosis(value).alias("kurtosis"),
         )
 
     moments = raw.agg(F.array(*[moments_of(c) for c in columns]).alias("m")).select(F.explode("m").alias("m")).select("m.*")
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    tall = raw.select(F.explode(pairs).alias("pair")).select("pair.column", "pair.value")
-    quarters = quantiles(
-        value_counts(tall, "value", ["column"]),
-        {"q25": 0.25, "q50": 0.5, "q75": 0.75},
-        ["column"],
-    )
-    return moments.join(F.broadcast(quarters), "column", "left").select(
+    return moments.select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max", "skew", "kurtosis"
     )
 

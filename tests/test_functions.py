@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import exact_mean, exact_sum, sample_kurtosis, sample_skewness
-from orderlens.functions.ordering import quantiles, running_totals, value_counts
+from orderlens.functions.ordering import running_totals
+from orderlens.functions import quantiles as quantile_module
+from orderlens.functions.quantiles import quantile_limits, quantiles
 from orderlens.functions.text import title_case
 from orderlens.functions.times import parse_invoice_date, whole_days
 
@@ -56,18 +58,46 @@ def test_exact_sum_does_not_depend_on_order(spark):
 def test_quantiles_equal_linear_interpolation(spark, size):
     rng = np.random.default_rng(size)
     values = np.round(rng.exponential(10, size), 1)
-    counts = value_counts(column(spark, [float(v) for v in values] + [None], "double"), "x")
+    df = column(spark, [float(v) for v in values] + [None, float("nan")], "double")
     points = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 1.0}
-    got = quantiles(counts, points).first()
+    got = spark.range(1).select(*[q.alias(name) for name, q in quantile_limits(df, "x", points).items()]).first()
     for name, q in points.items():
         assert got[name] == pytest.approx(np.quantile(values, q))
 
 
+def test_quantiles_of_odd_columns(spark):
+    assert spark.range(1).select(quantile_limits(column(spark, [None], "double"), "x", {"q": 0.5})["q"]).first()[0] is None
+    assert quantiles(column(spark, [], "double").selectExpr("'a' AS g", "x"), "x", {"q": 0.5}, ["g"]).collect() == []
+    # Values that coarse bins cannot tell apart, signs, extremes.
+    for values in ([1e9 + i / 7 for i in range(500)], [-3.5, -0.0, 0.0, 2.5, 1e-300, -1e300, 1e300], [7.0] * 900 + [float(i) for i in range(100)], [float(np.nextafter(1.0, 2)), 1.0]):
+        got = spark.range(1).select(*quantile_limits(column(spark, values, "double"), "x", {"a": 0.1, "b": 0.5, "c": 0.9}).values()).first()
+        assert list(got) == pytest.approx(np.quantile(values, [0.1, 0.5, 0.9]).tolist())
+
+
+def test_quantile_passes_are_few_and_order_nothing(spark):
+    values = [7.0] * 9000 + [float(v) for v in np.random.default_rng(1).lognormal(3, 2, 1000)]
+    df = column(spark, values, "double")
+    calls = []
+
+    def counted(rows, keys):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and "Sort" not in plan
+        calls.append(keys)
+        return bins(rows, keys)
+
+    bins, quantile_module._bins = quantile_module._bins, counted
+    try:
+        quantile_limits(df, "x", {"q1": 0.25, "q95": 0.95})
+    finally:
+        quantile_module._bins = bins
+    assert len(calls) <= 3
+
+
 def test_quantiles_by_group_with_one_heavy_value(spark):
     heavy = [("hot", 5.0)] * 3000 + [("hot", float(i)) for i in range(1000)]
     cold = [("cold", float(i)) for i in range(11)]
     df = spark.createDataFrame(heavy + cold, "g string, x double")
-    got = {r["g"]: r for r in quantiles(value_counts(df, "x", ["g"]), {"q": 0.3, "m": 0.9}, ["g"]).collect()}
+    got = {r["g"]: r for r in quantiles(df, "x", {"q": 0.3, "m": 0.9}, ["g"]).collect()}
     for group, data in (("hot", heavy), ("cold", cold)):
         values = [x for _, x in data]
         assert got[group]["q"] == pytest.approx(np.quantile(values, 0.3))
