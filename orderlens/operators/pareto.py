@@ -13,11 +13,13 @@ def pareto(sales: DataFrame) -> DataFrame:
     )
     placed = running_totals(
         customers,
-        [F.col("amount").desc(), F.col("CustomerID").asc()],
+        "amount",
+        "CustomerID",
         {"place": F.lit(1), "upto": F.col("amount")},
+        descending=True,
     )
     whole = (
-        placed.agg(F.sum("amount").cast("double").alias("amount"), F.count(F.lit(1)).alias("n"))
+        customers.agg(F.sum("amount").cast("double").alias("amount"), F.count(F.lit(1)).alias("n"))
         .select(F.struct("amount", "n"))
         .scalar()
     )

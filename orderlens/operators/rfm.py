@@ -35,30 +35,15 @@ def rank_quintile(position: Column, rows: Column) -> Column:
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """Scores 1 (worst) to 5 (best).
 
-    Frequency and Monetary are ranked together, each row carrying its metric's name, so one
-    range shuffle serves both; ties go by customer id. Recency is cut at interpolated quantiles
-    of its values (whole days, so few); equal edges collapse and leave a score unused.
+    Frequency and Monetary are ranked each in a global order; ties go by customer id. Recency is cut
+    at interpolated quantiles of its values (whole days, so few); equal edges collapse and leave a
+    score unused.
     """
-    metrics = F.array(
-        *[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast(EXACT).alias("value"))
-            for m in ("Frequency", "Monetary")
-        ]
-    )
-    tall = rfm.select("*", F.explode(metrics).alias("m")).select(
-        *rfm.columns, "m.metric", "m.value"
-    )
-    placed = running_totals(
-        tall, [F.col("value").asc(), F.col("CustomerID").asc()], {"place": F.lit(1)}, ["metric"]
-    )
-
-    def place(metric: str) -> Column:
-        return F.max(F.when(F.col("metric") == metric, F.col("place"))).alias(f"_{metric}")
-
-    by_customer = placed.groupBy(*rfm.columns).agg(place("Frequency"), place("Monetary"))
+    by_customer = rfm.withColumn("_money", F.col("Monetary").cast(EXACT))
+    for metric in ("Frequency", "_money"):
+        by_customer = running_totals(by_customer, metric, "CustomerID", {f"_place{metric}": F.lit(1)})
     facts = (
-        placed.filter(F.col("metric") == "Frequency")
-        .agg(
+        rfm.agg(
             F.count(F.lit(1)).alias("rows"),
             F.percentile("Recency", F.array(*[F.lit(e) for e in QUINTILE_EDGES])).alias("edges"),
         )
@@ -72,8 +57,8 @@ def rfm_scores(rfm: DataFrame) -> DataFrame:
     scores = by_customer.select(
         *rfm.columns,
         (F.lit(5) - above).alias("R_Score"),
-        rank_quintile(F.col("_Frequency"), facts["rows"]).alias("F_Score"),
-        rank_quintile(F.col("_Monetary"), facts["rows"]).alias("M_Score"),
+        rank_quintile(F.col("_placeFrequency"), facts["rows"]).alias("F_Score"),
+        rank_quintile(F.col("_place_money"), facts["rows"]).alias("M_Score"),
     )
     each = [F.col(c) for c in ("R_Score", "F_Score", "M_Score")]
     return scores.select(

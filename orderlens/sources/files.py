@@ -1,6 +1,9 @@
 """Reading and writing order files and marts."""
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +15,38 @@ from orderlens.schema import CSV_ENCODING, LINE_COLUMNS
 CSV_FORM = {"header": True, "quote": '"', "escape": '"'}
 
 
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """The names in a CSV file's first line; none for an empty file. Only that line is read."""
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    place = hadoop.fs.Path(file)
+    stream = place.getFileSystem(conf).open(place)
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    source = codec.createInputStream(stream) if codec else stream
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(source, CSV_ENCODING))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(next(csv.reader([line]), ())) if line else ()
+
+
 def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A CSV file as it is: every field as text under its name in the header.
+    """A CSV file, or a folder of them, as it is: every field as text under its name in the header.
 
-    ``multi_line`` allows line breaks inside quotes; such a file is read by one task, so leave it
-    off for large files without them.
+    Each file goes by its own header: files with equal headers are read together, and a field that a
+    file lacks is null. ``multi_line`` allows line breaks inside quotes; such a file is read by one
+    task, so leave it off for large files without them.
     """
-    return spark.read.csv(path, encoding=CSV_ENCODING, multiLine=multi_line, **CSV_FORM)
+    reader = spark.read.options(encoding=CSV_ENCODING, multiLine=multi_line, **CSV_FORM)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        by_header.setdefault(header_of(spark, unquote(file)), []).append(unquote(file))
+    by_header.pop((), None)
+    if len(by_header) <= 1:
+        return reader.csv(path)
+    parts = [reader.csv(files) for _, files in sorted(by_header.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def line_fields(found: Sequence[str]) -> dict[str, Column]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import exact_mean, exact_sum, sample_kurtosis, sample_skewness
-from orderlens.functions.ordering import running_totals
+from orderlens.functions.ordering import bucket_of, running_totals, split_points
 from orderlens.functions import quantiles as quantile_module
 from orderlens.functions.quantiles import quantile_limits, quantiles
 from orderlens.functions.text import title_case
@@ -111,7 +111,7 @@ def test_running_totals_over_several_partitions_and_ties(spark):
     try:
         df = spark.createDataFrame(data, "id long, v long").repartition(7)
         got = running_totals(
-            df, [F.col("v").desc(), F.col("id").asc()], {"place": F.lit(1), "upto": F.col("v")}
+            df, "v", "id", {"place": F.lit(1), "upto": F.col("v")}, descending=True, buckets=9
         )
         found = {r["id"]: (r["place"], r["upto"]) for r in got.collect()}
     finally:
@@ -122,6 +122,33 @@ def test_running_totals_over_several_partitions_and_ties(spark):
         assert found[i] == (place, total)
 
 
+def test_a_heavy_value_is_split_by_its_ties(spark):
+    data = [(i, 5) for i in range(9000)] + [(9000 + i, i) for i in range(1000)]
+    df = spark.createDataFrame(data, "id long, v long").repartition(5)
+    for descending in (False, True):
+        cuts = split_points(df, "v", "id", 10, descending)
+        assert len([c for c in cuts if c[0] == 5]) >= 8
+        sizes = df.groupBy(bucket_of("v", "id", cuts, "bigint", descending)).count().collect()
+        assert max(r["count"] for r in sizes) <= 2200  # of 10,000 rows in ten buckets
+        got = running_totals(df, "v", "id", {"place": F.lit(1)}, descending, 10)
+        order = sorted(data, key=lambda p: (-p[1] if descending else p[1], p[0]))
+        assert {r["id"]: r["place"] for r in got.collect()} == {i: n for n, (i, _) in enumerate(order, 1)}
+
+
+def test_running_totals_shuffle_once_and_store_nothing(spark):
+    df = spark.range(2000).selectExpr("id", "id % 7 AS v")
+    plan = running_totals(df, "v", "id", {"place": F.lit(1)})._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.find("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert plan.count("Exchange ") == 1 and "rangepartitioning" not in plan and "SinglePartition" not in plan
+
+
+def test_running_totals_of_no_rows_and_nulls(spark):
+    df = spark.createDataFrame([(1, None), (2, 3), (3, 1)], "id long, v long").withColumn("v", F.col("v").cast("decimal(20,4)"))
+    got = running_totals(df, "v", "id", {"place": F.lit(1), "upto": F.col("v")}, buckets=3)
+    assert sorted((r["id"], r["place"], r["upto"]) for r in got.collect()) == [(1, 3, 4), (2, 2, 4), (3, 1, 1)]
+    assert running_totals(df.limit(0), "v", "id", {"place": F.lit(1)}).collect() == []
+
+
 @pytest.mark.parametrize("values", [[0.0, 1.0, 2.0, 10.0], [3.0, 3.0], [1.0, 2.5, 2.5, 4.0, 9.9]])
 def test_histogram_equals_numpy(spark, values):
     got = histogram(column(spark, values, "double"), "x", 5).orderBy("bin").collect()

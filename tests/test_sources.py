@@ -1,3 +1,4 @@
+import gzip
 from datetime import datetime
 
 import pytest
@@ -105,3 +106,25 @@ def test_csv_sink(spark, tmp_path):
     files.write_mart(star.dim_date(fact), str(tmp_path), "dim_date", form="csv")
     stored = spark.read.csv(f"{tmp_path}/dim_date", header=True)
     assert rows(stored, "DateKey") == rows(fact.select("DateKey").distinct())
+
+
+def test_a_folder_of_files_with_headers_of_their_own(spark, tmp_path):
+    folder = tmp_path / "a folder"
+    folder.mkdir()
+    (folder / "1.csv").write_text("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n1,A,\"x, y\",2,2010-12-01 08:26:00,1.5,7,France\n")
+    (folder / "2.csv").write_text("StockCode,InvoiceNo,Country,Quantity,Extra\nB,2,Spain,3,e\nC,3,Italy,4,e\n")
+    with gzip.open(folder / "3.csv.gz", "wt") as f:
+        f.write('"Quantity",UnitPrice,"StockCode",InvoiceNo\n5,2.5,D,4\n')
+    (folder / "4.csv").write_text("StockCode,InvoiceNo,Country,Quantity,Extra\nE,5,Malta,6,e\n")
+    (folder / "5.csv").write_text("")
+    found = files.read_lines_csv(spark, str(folder))
+    assert found.columns == LINE_COLUMNS
+    got = sorted((r["InvoiceNo"], r["StockCode"], r["Quantity"], r["Country"], r["UnitPrice"], r["Description"]) for r in found.collect())
+    assert got == [
+        ("1", "A", 2, "France", 1.5, "x, y"),
+        ("2", "B", 3, "Spain", None, None),
+        ("3", "C", 4, "Italy", None, None),
+        ("4", "D", 5, None, 2.5, None),
+        ("5", "E", 6, "Malta", None, None),
+    ]
+    assert {r["column"]: r["n"] for r in files.unreadable_fields(files.read_text_csv(spark, str(folder))).collect()}["Quantity"] == 0
