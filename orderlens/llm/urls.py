@@ -7,11 +7,13 @@ A URL's score is the mean over its characters of log P(allowed) - log P(blocked)
 calibrated on labelled URLs that were not trained on: it has the least sum of both error rates.
 
 All of it is DataFrame work. Every distinct URL counts once; counts are kept per distinct string
-of four characters, so no key of the model joins is hot, and hot URLs meet one row each.
+of four characters, so no key of the model joins is hot, and hot URLs meet one row each. Character
+rows carry a key of 16 bytes in place of the URL, so they grow with a URL's length, not its square.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path; scores of an empty
-URL are 0; with no allowed or no blocked URLs all others are allowed; a score equal to the threshold
-is allowed; repeated rows are judged each; an empty table gives no rows; other columns are ignored.
+URL are 0; with no allowed or no blocked URLs to calibrate on all others are allowed; a score equal to the threshold
+is allowed; repeated rows are judged each; URLs of any length are read whole; an empty table gives
+no rows; other columns are ignored.
 """
 
 from functools import reduce
@@ -19,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.llm.tables import stored
+
 #: (host, path, verdict); a longer rule (host and path together) wins over a shorter one.
 RULES = [
     ("net", "/", "block"),
@@ -30,6 +34,8 @@ ALLOW, BLOCK = "allow", "block"
 
 ORDER = 3
 ALPHABET = 65_536
+#: Characters of a URL that are cut into strings together: finding a place costs its distance.
+CHUNK = 256
 #: A labelled URL in so many is kept for the calibration.
 CALIBRATION_SHARE = 5
 #: Threshold steps per nat, and the largest score of the calibration table.
@@ -55,12 +61,24 @@ def rule_columns(rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     return name, verdict
 
 
+def url_key(url: str = "url") -> Column:
+    """16 bytes that stand for a URL."""
+    return F.unhex(F.md5(F.col(url).cast("binary")))
+
+
 def url_grams(urls: DataFrame) -> DataFrame:
-    """One row per character of each URL: the character behind its three predecessors."""
+    """One row per character of each URL: the character behind its three predecessors.
+
+    Columns besides url are kept.
+    """
     padded = F.concat(F.lit("\x02" * ORDER), "url")
-    places = F.explode(F.sequence(F.lit(1), F.length("url")))
-    rows = urls.where(F.length("url") > 0).select("*", places.alias("place"), padded.alias("padded"))
-    return rows.select(*urls.columns, F.expr(f"substring(padded, place, {ORDER + 1})").alias("gram"))
+    starts = F.explode(F.sequence(F.lit(1), F.length("url"), F.lit(CHUNK)))
+    kept = [c for c in urls.columns if c != "url"]
+    chunks = urls.where(F.length("url") > 0).select("*", starts.alias("start"), padded.alias("padded"))
+    chunks = chunks.select(*kept, F.expr(f"substring(padded, start, {CHUNK + ORDER})").alias("chunk"))
+    places = F.explode(F.sequence(F.lit(1), F.length("chunk") - ORDER))
+    rows = chunks.select(*kept, "chunk", places.alias("place"))
+    return rows.select(*kept, F.expr(f"substring(chunk, place, {ORDER + 1})").alias("gram"))
 
 
 def model(grams: DataFrame, seen: DataFrame) -> DataFrame:
@@ -93,12 +111,13 @@ def model(grams: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def scores(urls: DataFrame) -> DataFrame:
-    """Add ``score`` to distinct URLs of (url, verdict, calibrates)."""
+    """Add ``key`` and ``score`` to distinct URLs of (url, verdict, calibrates)."""
+    urls = urls.withColumn("key", url_key())
     grams = url_grams(urls)
     trained = grams.where(F.col("verdict").isNotNull() & ~F.col("calibrates"))
     ratios = model(trained, grams.select("gram").distinct())
-    means = grams.join(ratios, "gram").groupBy("url").agg(F.round(F.avg("ratio"), 9).alias("score"))
-    return urls.join(means, "url", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    means = grams.select("key", "gram").join(ratios, "gram").groupBy("key").agg(F.round(F.avg("ratio"), 9).alias("score"))
+    return urls.join(means, "key", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
 
 
 def threshold(scored: DataFrame) -> float:
@@ -109,25 +128,31 @@ def threshold(scored: DataFrame) -> float:
     # At most 2 * LARGEST * STEPS + 1 rows from here on.
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    lost = F.coalesce(F.sum(ALLOW).over(below), F.lit(0)) / F.sum(ALLOW).over(everything)
-    passed = 1 - F.coalesce(F.sum(BLOCK).over(below), F.lit(0)) / F.sum(BLOCK).over(everything)
+    lost = F.try_divide(F.coalesce(F.sum(ALLOW).over(below), F.lit(0)), F.sum(ALLOW).over(everything))
+    passed = 1 - F.try_divide(F.coalesce(F.sum(BLOCK).over(below), F.lit(0)), F.sum(BLOCK).over(everything))
     best = table.select("step", F.round(lost + passed, 9).alias("errors")).where("errors is not null")
     best = best.orderBy("errors", F.abs("step"), "step").first()
     return -float("inf") if best is None else best["step"] / STEPS
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score): rows of ``pages`` with their verdicts."""
+    """(page_id, host, path, rule, verdict, score): rows of ``pages`` with their verdicts.
+
+    Scores are stored once, by key: the threshold and the result read that table.
+    """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     pages = pages.select("page_id", url.alias("url"))
-    urls = pages.select("url").distinct()
     host, path = url_parts(F.col("url"))
     name, verdict = rule_columns(rules if rules is not None else RULES)
-    urls = urls.withColumns({"host": host, "path": path}).select("*", name.alias("rule"), verdict.alias("verdict"))
-    urls = urls.withColumn("calibrates", F.crc32(F.col("url").cast("binary")) % CALIBRATION_SHARE == 0)
-    labelled = urls.select("url", "verdict", "calibrates")
-    scored = scores(labelled)
+
+    def ruled(urls: DataFrame) -> DataFrame:
+        return urls.withColumns({"host": host, "path": path}).withColumns({"rule": name, "verdict": verdict})
+
+    labelled = ruled(pages.select("url").distinct()).select(
+        "url", "verdict", (F.crc32(F.col("url").cast("binary")) % CALIBRATION_SHARE == 0).alias("calibrates")
+    )
+    scored = stored(scores(labelled).select("key", "verdict", "calibrates", "score"))
     limit = threshold(scored)
     judged = F.coalesce("verdict", F.when(F.col("score") >= F.lit(limit), ALLOW).otherwise(BLOCK))
-    verdicts = urls.drop("verdict", "calibrates").join(scored.select("url", "verdict", "score"), "url")
-    return pages.join(verdicts.withColumn("verdict", judged), "url").select("page_id", "host", "path", "rule", "verdict", "score")
+    rows = ruled(pages.withColumn("key", url_key())).drop("url").join(scored.select("key", "score"), "key")
+    return rows.withColumn("verdict", judged).select("page_id", "host", "path", "rule", "verdict", "score")
