@@ -6,13 +6,15 @@ escape, d/(N+d), leads to the next shorter context, where the symbols of the lon
 excluded and the rest is scaled to one. Below order 0 all 256 bytes are alike. The probabilities of
 a context add up to one, so the sums are exact code lengths; the shortest one names the language.
 
-The trees of all languages are resolved into one table (context, byte) -> bits per language, so a
-text costs two look-ups a byte. Training takes at most ``TRAIN_DOCS`` labelled rows per language,
-chosen by hash; scoring covers all rows.
+A tree is kept whole, as sorted arrays: the bits of each seen (context, byte), and what an escape
+from each context costs. Texts are scored language by language on their distinct four-byte strings.
+Training takes at most ``TRAIN_DOCS`` different labelled rows per language, those of the least hash;
+scoring covers all rows. The trees are broadcast: their size is bounded by these rows.
 
 Defined results: null text, or text without a letter: ``und`` with score 0; so is all text when no
-row is labelled. Equal code lengths go to the first language by name. Repeated rows are scored
-each; an empty table gives no rows; columns besides doc_id, text and lang are ignored.
+row is labelled. Rows without doc_id are learnt from like others; repeated rows count once in the
+sample and are scored each. Equal code lengths go to the first language by name. An empty table
+gives no rows; columns besides doc_id, text and lang are ignored.
 """
 
 from collections.abc import Iterator
@@ -25,14 +27,10 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.tables import in_slices
 
-#: Labelled rows per language to learn from.
+#: Different labelled rows per language to learn from.
 TRAIN_DOCS = 400
-#: Languages that are learnt at most, the commonest first.
-MOST_LANGUAGES = 64
-#: Distinct four-byte strings kept per language, the commonest first.
-MOST_GRAMS = 200_000
-#: Size of the resolved table; the commonest contexts of three bytes fill it.
-MODEL_BYTES = 64 << 20
+#: Bytes of a longest context.
+ORDER = 3
 
 UNKNOWN = "und"
 
@@ -41,33 +39,36 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_rows(docs: DataFrame) -> DataFrame:
-    """(lang, text): a bounded sample by hash of the labelled rows that are not held out."""
-    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id"))
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).select("lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = labelled.select("doc_id", "lang").withColumn("place", F.row_number().over(first))
-    picked = picked.where(F.col("place") <= TRAIN_DOCS).join(F.broadcast(common), "lang").select("doc_id", "lang").distinct()
-    return labelled.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "text")
-
+def training_rows(docs: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
+    """(lang, text): a bounded sample by hash of the labelled rows that are not held out.
 
-def gram_counts(rows: DataFrame) -> pd.DataFrame:
+    The number of different rows of a language, by a sketch, gives the share of hashes that holds
+    about twice ``most`` of them; copies among these collapse in their tasks, and the least ``most``
+    hashes stay. So a window sees about ``2 * most`` rows of a language, however common it is.
+    """
+    labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("doc_id"))
+    lang, text = F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
+    rows = labelled.select(lang, text, F.xxhash64("doc_id", "text").alias("hash"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("hash", 0.03).alias("different"))
+    # One row per language, far smaller than the trees that go to every task anyway.
+    share = F.pmod("hash", F.lit(1 << 40)).cast("double") * F.col("different") < F.lit(float(2 * most << 40))
+    picked = rows.join(F.broadcast(sizes), "lang").where(share)
+    picked = picked.groupBy("lang", "hash").agg(F.max("text").alias("text"))
+    first = Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(1 << 40)), "hash")
+    return picked.withColumn("place", F.row_number().over(first)).where(F.col("place") <= most).select("lang", "text")
+
+
+def gram_counts(rows: DataFrame) -> DataFrame:
     """(lang, gram, n): strings of four bytes as integers; a text begins with three zero bytes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                by_lang.setdefault(lang, []).append(b"\0\0\0" + text.encode())
-            for lang, texts in by_lang.items():
-                grams = np.concatenate([grams_of(np.frombuffer(t, np.uint8)) for t in texts])
-                gram, n = np.unique(grams, return_counts=True)
-                columns = [pa.array([lang] * len(gram)), pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))]
+                gram, n = np.unique(grams_of(np.frombuffer(b"\0\0\0" + text.encode(), np.uint8)), return_counts=True)
+                columns = [pa.array([lang] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    common = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("place", F.row_number().over(common)).where(F.col("place") <= MOST_GRAMS).drop("place").toPandas()
+    return rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def grams_of(raw: np.ndarray) -> np.ndarray:
@@ -75,78 +76,86 @@ def grams_of(raw: np.ndarray) -> np.ndarray:
     return (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
 
 
+class Tree:
+    """Code lengths of one language: arrays of each order, sorted by key.
+
+    A string of k + 1 bytes is a pair of a context of k bytes and the byte behind it.
+    """
+
+    def __init__(self, gram: np.ndarray, n: np.ndarray):
+        self.pairs, self.bits, self.contexts, self.escapes = [], [], [], []
+        shorter = None
+        for order in range(ORDER + 1):
+            pair, at = np.unique(gram & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            c = np.bincount(at, n, len(pair))
+            context, at = np.unique(pair >> 8, return_inverse=True)
+            seen, distinct = np.bincount(at, c, len(context)), np.bincount(at, minlength=len(context))
+            p = c / (seen + distinct)[at]
+            # Whatever follows a context also follows the shorter one that ends it.
+            below = np.full(len(pair), 1 / 256) if order == 0 else shorter[np.searchsorted(self.pairs[-1], pair & ((1 << 8 * order) - 1))]
+            left = np.maximum(1 - np.bincount(at, below, len(context)), 1e-9)
+            self.pairs.append(pair.astype(np.uint32))
+            self.bits.append(-np.log2(p).astype(np.float32))
+            self.contexts.append(context.astype(np.uint32))
+            self.escapes.append(-np.log2(distinct / (seen + distinct) / left).astype(np.float32))
+            shorter = p
+
+    def code(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each of the sorted, distinct strings ``gram`` behind its first three."""
+        total = np.zeros(len(gram), np.float32)
+        open_ = np.arange(len(gram))
+        for order in range(ORDER, -1, -1):
+            pair = gram[open_] & np.uint32((1 << 8 * (order + 1)) - 1)
+            at, found = look_up(self.pairs[order], pair)
+            total[open_[found]] += self.bits[order][at[found]]
+            open_, pair = open_[~found], pair[~found]
+            at, found = look_up(self.contexts[order], pair >> np.uint32(8))
+            total[open_[found]] += self.escapes[order][at[found]]
+        total[open_] += 8
+        return total
+
+
+def look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, is there) of values in sorted keys."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 class ContextModel:
-    """Code lengths of every (context, symbol) for every language."""
-
-    def __init__(self, counts: pd.DataFrame, model_bytes: int = MODEL_BYTES):
-        self.languages = sorted(counts["lang"].unique())
-        grams = counts["gram"].to_numpy(np.int64)
-        shifts = (24, 16, 8, 0)
-        seen = np.unique(np.concatenate([(grams >> s) & 255 for s in shifts] + [np.zeros(1, np.int64)]))
-        # Symbol 0 stands for the zero byte and for all bytes that the sample never shows.
-        self.symbol = np.zeros(256, np.int64)
-        self.symbol[seen] = np.arange(len(seen))
-        self.width = width = len(seen)
-        x = [self.symbol[(grams >> s) & 255] for s in shifts]
-        contexts = [np.zeros(len(grams), np.int64), x[2], x[1] * width + x[2], (x[0] * width + x[1]) * width + x[2]]
-        n = counts["n"].to_numpy(np.float64)
-        lang = np.searchsorted(self.languages, counts["lang"].to_numpy(str)) if len(counts) else np.zeros(0, np.int64)
-        room = max(1, min(60_000, model_bytes // (4 * width * max(1, len(self.languages)))) - 1 - width)
-        rows, first = [np.zeros(1, np.int64)], [0, 1]
-        for order in (1, 2, 3):
-            keys, at = np.unique(contexts[order], return_inverse=True)
-            share = room // 3 if order == 2 else room - (len(rows[2]) if order == 3 else 0)
-            weight = np.bincount(at, n, len(keys))
-            if order > 1 and len(keys) > share:
-                keys = np.sort(keys[np.lexsort((keys, -weight))[:share]])
-            rows.append(keys)
-            first.append(first[-1] + len(keys))
-        total = first[-1]
-        p = np.empty((len(self.languages), total, width))
-        for k in range(len(self.languages)):
-            own = lang == k
-            for order in range(4):
-                keys, begin = rows[order], first[order]
-                parent = self.row(rows, first, keys % width ** max(0, order - 1), order - 1)
-                base = np.full((1, width), 1 / 256) if order == 0 else p[k, parent]
-                at = np.searchsorted(keys, contexts[order][own])
-                known = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == contexts[order][own])
-                pair, where = np.unique(at[known] * width + x[3][own][known], return_inverse=True)
-                c, (row, s) = np.bincount(where, n[own][known], len(pair)), np.divmod(pair, width)
-                total_n, distinct = np.bincount(row, c, len(keys)), np.bincount(row, minlength=len(keys))
-                mass = np.bincount(row, base[row, s], len(keys))
-                escape = np.where(distinct > 0, distinct / np.maximum(total_n + distinct, 1) / np.maximum(1 - mass, 1e-9), 1)
-                p[k, begin : begin + len(keys)] = base * escape[:, None]
-                p[k, begin + row, s] = c / (total_n + distinct)[row]
-        self.bits = np.ascontiguousarray(-np.log2(p).transpose(1, 2, 0).reshape(total * width, -1).astype(np.float32))
-        every = np.arange(width**3)
-        self.state = self.row(rows, first, every, 3).astype(np.uint16)
-
-    def row(self, rows: list, first: list, keys: np.ndarray, order: int) -> np.ndarray:
-        """Number of the longest kept context that ends the context ``keys`` of ``order``."""
-        if order <= 0:
-            return np.zeros(len(keys), np.int64)
-        kept = rows[order]
-        at = np.minimum(np.searchsorted(kept, keys), max(0, len(kept) - 1))
-        found = kept[at] == keys if len(kept) else np.zeros(len(keys), bool)
-        return np.where(found, first[order] + at, self.row(rows, first, keys % self.width ** (order - 1), order - 1))
+    """The trees of all languages, in the order of their names."""
+
+    def __init__(self, trees: dict[str, Tree]):
+        self.languages = sorted(trees)
+        self.trees = [trees[lang] for lang in self.languages]
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text under each language; texts are not empty."""
-        raw = self.symbol[np.frombuffer(b"\0\0\0" + b"\0\0\0".join(texts), np.uint8)].astype(np.int32)
-        context = self.state[(raw[:-3] * self.width + raw[1:-2]) * self.width + raw[2:-1]]
-        bits = self.bits[context.astype(np.int32) * self.width + raw[3:]]
+        grams, at = np.unique(grams_of(np.frombuffer(b"\0\0\0" + b"\0\0\0".join(texts), np.uint8)), return_inverse=True)
         sizes = np.array([len(t) for t in texts])
         starts = np.cumsum(sizes + 3) - (sizes + 3)
         # The three zeros before the next text belong to no text.
         bounds = np.stack([starts, starts + sizes], axis=1).ravel()
-        padded = np.concatenate([bits, np.zeros((1, bits.shape[1]), np.float32)])
-        return np.add.reduceat(padded, bounds, axis=0, dtype=np.float64)[::2]
+        found = np.empty((len(texts), len(self.trees)))
+        for k, tree in enumerate(self.trees):
+            bits = np.append(tree.code(grams)[at], np.float32(0))
+            found[:, k] = np.add.reduceat(bits, bounds, dtype=np.float64)[::2]
+        return found
+
+
+def trained(counts: DataFrame) -> ContextModel:
+    """The model of (lang, gram, n). One row per language is gathered, with the strings of its sample."""
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        gram, n = (frame[c].to_numpy(np.int64).tobytes() for c in ("gram", "n"))
+        return pd.DataFrame({"lang": [frame["lang"].iloc[0]], "gram": [gram], "n": [n]})
+
+    packed = counts.groupBy("lang").applyInPandas(pack, "lang string, gram binary, n binary")
+    return ContextModel({r["lang"]: Tree(*(np.frombuffer(r[c], np.int64) for c in ("gram", "n"))) for r in packed.toLocalIterator()})
 
 
 def predict(docs: DataFrame, model: ContextModel | None = None) -> DataFrame:
     """(doc_id, lang_pred, score): the posterior of the best language with equal priors."""
-    model = model or ContextModel(gram_counts(training_rows(docs)))
+    model = model or trained(gram_counts(training_rows(docs)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

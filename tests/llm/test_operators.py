@@ -150,10 +150,11 @@ def test_trigram_queries_hold_for_matches():
 
 
 def test_language_model_is_a_distribution_and_holds_out(docs, odd):
-    model = language.ContextModel(language.gram_counts(language.training_rows(docs)))
-    p = np.exp2(-model.bits.astype(float)).reshape(-1, model.width, len(model.languages))
-    # Symbol 0 stands for all unseen bytes: its share below order 0 is that of one byte.
-    assert p.sum(axis=1).max() <= 1 + 1e-3
+    model = language.trained(language.gram_counts(language.training_rows(docs)))
+    for tree in model.trees:
+        for context in [*tree.contexts[3][::500], 0, 0x616263, 0xFFFFFF]:
+            p = np.exp2(-tree.code(np.arange(256, dtype=np.uint32) + (np.uint32(context) << np.uint32(8))).astype(float))
+            assert p.sum() == pytest.approx(1, abs=1e-4)
     truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
     rows = [r for r in language.language_digest(docs).collect() if r["held_out"] and r["lang_pred"] != "und"]
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in rows)
@@ -165,10 +166,8 @@ def test_language_model_is_a_distribution_and_holds_out(docs, odd):
 
 
 def test_code_lengths_follow_escapes():
-    import pandas as pd
-
-    grams = language.grams_of(np.frombuffer(b"\0\0\0abab", np.uint8))
-    model = language.ContextModel(pd.DataFrame({"lang": "x", "gram": grams.astype(np.int64), "n": 1}).groupby(["lang", "gram"], as_index=False).sum())
+    grams = language.grams_of(np.frombuffer(b"\0\0\0abab", np.uint8)).astype(np.int64)
+    model = language.ContextModel({"x": language.Tree(grams, np.ones(len(grams), np.int64))})
     # After "aba" only b was seen, once: N = d = 1, so b costs one bit there.
     assert model.code_lengths([b"abab"])[0, 0] - model.code_lengths([b"aba"])[0, 0] == pytest.approx(1.0)
 
