@@ -42,6 +42,7 @@ def main() -> None:
     raw = read_mart(spark, store, marts.RAW)
     timed("load_star", lambda: marts.build_star(raw, store))
     timed("load_lines", lambda: marts.build_line_marts(raw, store))
+    timed("load_sketches", lambda: marts.build_sketches(read_mart(spark, store, marts.SALES), store))
     timed(
         "load_customers",
         lambda: marts.build_customer_marts(read_mart(spark, store, marts.SALES), store),

@@ -190,6 +190,34 @@ SELECT CustomerID, date_sub('day', max(InvoiceDate), (SELECT as_of FROM ref)) AS
        {mean('TotalAmount')} AS AvgOrderValue, CAST(sum(Quantity) AS BIGINT) AS TotalItems,
        count(DISTINCT StockCode) AS UniqueProducts, {mean('UnitPrice')} AS AvgUnitPrice
 FROM sales GROUP BY CustomerID""",
+    "pca_points": """
+SELECT CustomerID, (r - avg(r) OVER ()) / stddev_pop(r) OVER () AS x, (f - avg(f) OVER ()) / stddev_pop(f) OVER () AS y,
+       (m - avg(m) OVER ()) / stddev_pop(m) OVER () AS z
+FROM (SELECT CustomerID, ln(1 + Recency) AS r, ln(1 + Frequency) AS f, ln(1 + Monetary) AS m FROM rfm)""",
+    "pca_matrix": """
+SELECT covar_pop(x, x) AS a, covar_pop(x, y) AS b, covar_pop(x, z) AS c, covar_pop(y, y) AS d,
+       covar_pop(y, z) AS e, covar_pop(z, z) AS f FROM pca_points""",
+    "pca_scale": """
+SELECT *, (a + d + f) / 3 AS q,
+       sqrt(((a - (a + d + f) / 3) ** 2 + (d - (a + d + f) / 3) ** 2 + (f - (a + d + f) / 3) ** 2
+             + 2 * (b * b + c * c + e * e)) / 6) AS p FROM pca_matrix""",
+    "pca_angle": """
+SELECT *, acos(greatest(-1, least(1, ((a - q) * ((d - q) * (f - q) - e * e) - b * (b * (f - q) - c * e)
+                                      + c * (b * e - c * (d - q))) / (2 * p * p * p)))) / 3 AS phi FROM pca_scale""",
+    "pca_values": """
+SELECT *, CASE k WHEN 1 THEN q + 2 * p * cos(phi)
+                 ELSE 3 * q - 2 * q - 2 * p * cos(phi) - 2 * p * cos(phi + 2 * pi() / 3) END AS value
+FROM pca_angle, (SELECT unnest([1, 2]) AS k)""",
+    "pca_crossed": """
+SELECT k, value / (3 * q) AS share, unnest([
+  [b * e - c * (d - value), c * b - (a - value) * e, (a - value) * (d - value) - b * b],
+  [b * (f - value) - c * e, c * c - (a - value) * (f - value), (a - value) * e - b * c],
+  [(d - value) * (f - value) - e * e, e * c - b * (f - value), b * e - (d - value) * c]]) AS w FROM pca_values""",
+    "pca_vectors": """
+SELECT k, share, list_transform(w, lambda u: u / (CASE WHEN greatest(w[1], w[2], w[3]) >= -least(w[1], w[2], w[3])
+                                                 THEN 1 ELSE -1 END * sqrt(w[1] * w[1] + w[2] * w[2] + w[3] * w[3]))) AS vector
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY w[1] * w[1] + w[2] * w[2] + w[3] * w[3] DESC) AS place
+      FROM pca_crossed) WHERE place = 1""",
     "ordfreq": "SELECT CustomerID, count(DISTINCT InvoiceNo) AS x FROM sales GROUP BY CustomerID",
     "prodinv": "SELECT InvoiceNo, count(DISTINCT StockCode) AS x FROM sales GROUP BY InvoiceNo",
     "ordval": f"SELECT InvoiceNo, {exact('TotalAmount')} AS x FROM sales GROUP BY InvoiceNo",

@@ -298,6 +298,7 @@ def advanced_bodies() -> dict[str, str]:
 FROM sales GROUP BY 1"""
     return {
         "rfm_scaled": f"SELECT CustomerID, {scaled} FROM rfm",
+        "rfm_pca": PCA,
         "revenue_sma": "SELECT month, round(revenue, 6) AS revenue, round(sma, 6) AS sma FROM sma",
         "revenue_ema": "SELECT month, round(revenue, 6) AS revenue, round(ema, 6) AS ema FROM ema",
         "revenue_forecast": """
@@ -320,9 +321,22 @@ SELECT feature_a, feature_b, round(r, 6) AS r FROM ({correlation('seven', SEVEN)
 WHERE r IS NOT NULL ORDER BY abs(r) DESC, feature_a, feature_b LIMIT 5""",
         "product_pairs": pairs_of("basket"),
         "product_pairs_first10": pairs_of("basket10"),
+        "product_pairs_sampled": pairs_of("basket_sample"),
     }
 
 
+# The covariance matrix (a b c; b d e; c e f) of the scaled measures has its eigenvalues by the
+# trigonometric formula; a vector of one is the longest cross product of two rows of the matrix less
+# that value, its largest entry positive.
+PCA = """
+SELECT CustomerID,
+  round(x * v1[1] + y * v1[2] + z * v1[3], 6) AS PC1, round(x * v2[1] + y * v2[2] + z * v2[3], 6) AS PC2,
+  round(share1, 6) AS PC1_ratio, round(share2, 6) AS PC2_ratio
+FROM pca_points, (
+  SELECT max(vector) FILTER (k = 1) AS v1, max(vector) FILTER (k = 2) AS v2,
+         max(share) FILTER (k = 1) AS share1, max(share) FILTER (k = 2) AS share2 FROM pca_vectors)"""
+
+
 def pairs_of(basket: str) -> str:
     return f"""
 SELECT a.Description AS item_a, b.Description AS item_b, count(*) AS n
@@ -336,6 +350,10 @@ BASKET = {
 SELECT InvoiceNo, Description FROM (
   SELECT InvoiceNo, Description, row_number() OVER (PARTITION BY InvoiceNo ORDER BY Description) AS place
   FROM basket) WHERE place <= 10""",
+    "basket_sample": """
+SELECT basket.* FROM basket JOIN (
+  SELECT InvoiceNo FROM (SELECT DISTINCT InvoiceNo FROM sales WHERE Description IS NOT NULL)
+  ORDER BY md5(InvoiceNo), InvoiceNo LIMIT 10000) picked ON basket.InvoiceNo = picked.InvoiceNo""",
 }
 
 

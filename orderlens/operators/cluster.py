@@ -213,16 +213,21 @@ def kmeans_profiles(rfm: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS)
 
 
 def rfm_pca(rfm: DataFrame) -> DataFrame:
-    """Two components per customer and the share of variance each explains."""
+    """Two components per customer and the share of variance each explains.
+
+    The largest loading of a component is positive, so its sign does not depend on the solver.
+    """
     assembler = VectorAssembler(inputCols=SCALED, outputCol="features")
     vectors = assembler.transform(scaled_points(rfm))
     model = PCA(k=2, inputCol="features", outputCol="projected").fit(vectors)
     shares = [float(x) for x in model.explainedVariance]
+    loadings = model.pc.toArray()
+    signs = [float(np.sign(c[np.abs(c).argmax()])) for c in loadings.T]
     xy = vector_to_array("projected")
     return model.transform(vectors).select(
         "CustomerID",
-        xy[0].alias("PC1"),
-        xy[1].alias("PC2"),
+        (xy[0] * signs[0]).alias("PC1"),
+        (xy[1] * signs[1]).alias("PC2"),
         F.lit(shares[0]).alias("PC1_ratio"),
         F.lit(shares[1]).alias("PC2_ratio"),
     )

@@ -2,11 +2,8 @@
 
 from collections.abc import Sequence
 from itertools import combinations
-from math import isnan
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.durable import durable
@@ -20,17 +17,28 @@ STRONG = 0.7
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """feature_a, feature_b, r for every pair of columns (a before b), from one pass over the rows.
 
-    Null where a column does not vary. Rows with a missing feature are left out. Only the matrix, a
-    number per pair of columns, reaches the driver.
+    Each pair uses the rows that have both its values; null and NaN count as missing. Null where a
+    column does not vary on these rows, or fewer than two are left. The co-moments of all pairs are
+    partial sums of one aggregate, so nothing is shuffled but one row a task.
     """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(df).select("v")
-    if vectors.isEmpty():
-        r = [[float("nan")] * len(columns) for _ in columns]
-    else:
-        r = Correlation.corr(vectors, "v").first()[0].toArray()
-    pairs = combinations(range(len(columns)), 2)
-    rows = [(columns[i], columns[j], None if isnan(r[i][j]) else float(r[i][j])) for i, j in pairs]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
+
+    def present(c: str) -> Column:
+        value = F.col(c).cast("double")
+        return F.when(~F.isnan(value), value)
+
+    def spread(x: str, other: str) -> Column:
+        return F.stddev_pop(F.when(F.col(other).isNotNull(), F.col(x)))
+
+    pairs = list(combinations(columns, 2))
+    values = df.select(*[present(c).alias(c) for c in columns])
+    sums = values.agg(*[
+        F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a)).alias(f"{a}|{b}") for a, b in pairs
+    ])
+    rows = F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{a}|{b}").alias("r"))
+        for a, b in pairs
+    ])
+    return sums.select(F.inline(rows))
 
 
 SEVEN_FEATURES = [

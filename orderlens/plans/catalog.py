@@ -23,6 +23,7 @@ from orderlens.operators import (
     profiling,
     rfm,
     sales,
+    sketches,
     star,
     warehouse,
 )
@@ -97,6 +98,9 @@ SALES: dict[str, Query] = {
     "aov_overall": lambda i: orders.aov_overall(i.sales),
     "order_size_hist": lambda i: shown(orders.order_size_hist(i.sales)),
     "order_size_stats": lambda i: shown(orders.order_size_stats(i.sales)),
+    "monthly_customers_approx": lambda i: sketches.monthly_customers(i.sketches),
+    "yearly_customers_approx": lambda i: sketches.yearly_customers(i.sketches),
+    "price_quantiles_approx": lambda i: sketches.price_quantiles(i.sketches),
     "cancellation_rate_monthly": lambda i: orders.cancellation_rate_monthly(i.with_cancellations),
     "cancellation_rate_summary": lambda i: shown(orders.cancellation_rate_summary(i.with_cancellations)),
 }
@@ -131,7 +135,7 @@ ADVANCED: dict[str, Query] = {
     "kmeans_elbow": lambda i: cluster.kmeans_elbow(i.rfm),
     "kmeans_segments": lambda i: cluster.kmeans_segments(i.rfm),
     "kmeans_profiles": lambda i: cluster.kmeans_profiles(i.rfm),
-    "rfm_pca": lambda i: cluster.rfm_pca(i.rfm),
+    "rfm_pca": lambda i: shown(cluster.rfm_pca(i.rfm)),
     "revenue_sma": lambda i: shown(forecast.revenue_sma(i.sales)),
     "revenue_ema": lambda i: shown(forecast.revenue_ema(i.sales)),
     "revenue_forecast": lambda i: shown(forecast.revenue_forecast(i.sales)),
@@ -142,6 +146,7 @@ ADVANCED: dict[str, Query] = {
     "top_correlations": lambda i: shown(correlation.top_correlations(i.sales)),
     "product_pairs": lambda i: basket.product_pairs(i.sales),
     "product_pairs_first10": lambda i: basket.product_pairs(i.sales, max_items=10),
+    "product_pairs_sampled": lambda i: basket.product_pairs(i.sales, sample=10_000),
 }
 
 DASHBOARD: dict[str, Query] = {

@@ -6,7 +6,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.functions.durable import durable
-from orderlens.operators import cleaning, dashboard, features, rfm, star
+from orderlens.operators import cleaning, dashboard, features, rfm, sketches, star
 from orderlens.sources import retail
 
 
@@ -23,6 +23,10 @@ class Inputs:
     def sales(self) -> DataFrame:
         return cleaning.clean_sales(self.raw)
 
+    @cached_property
+    def sketches(self) -> DataFrame:
+        return sketches.monthly_sketches(self.sales)
+
     @cached_property
     def fact(self) -> DataFrame:
         return cleaning.fact_transactions(self.raw)

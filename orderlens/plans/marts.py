@@ -9,13 +9,14 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from orderlens.operators import cleaning, dashboard, features, rfm, star
+from orderlens.operators import cleaning, dashboard, features, rfm, sketches, star
 from orderlens.plans.inputs import Inputs
 from orderlens.sources.files import read_mart, write_mart
 
 FACT = "fact_transactions"
 RAW = "raw_lines"
 SALES = "sales_lines"
+SKETCHES = "monthly_sketches"
 WITH_CANCELLATIONS = "lines_with_cancellations"
 
 
@@ -37,6 +38,11 @@ def build_line_marts(raw: DataFrame, folder: str) -> None:
     write_mart(cleaning.lines_with_cancellations(raw), folder, WITH_CANCELLATIONS)
 
 
+def build_sketches(sales: DataFrame, folder: str) -> None:
+    """Write the monthly sketches; approximate reports read these instead of lines."""
+    write_mart(sketches.monthly_sketches(sales), folder, SKETCHES)
+
+
 def build_customer_marts(sales: DataFrame, folder: str, form: str = "parquet") -> None:
     write_mart(features.customer_features(sales), folder, "customer_features", form=form)
     write_mart(rfm.segments_of_sales(sales), folder, "rfm_segments", form=form)
@@ -59,6 +65,10 @@ class StoredInputs(Inputs):
     def sales(self) -> DataFrame:
         return self._stored(SALES)
 
+    @cached_property
+    def sketches(self) -> DataFrame:
+        return self._stored(SKETCHES)
+
     @cached_property
     def fact(self) -> DataFrame:
         return self._stored(FACT)
