@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.durable import durable
@@ -18,27 +18,22 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """feature_a, feature_b, r for every pair of columns (a before b), from one pass over the rows.
 
     Each pair uses the rows that have both its values; null and NaN count as missing. Null where a
-    column does not vary on these rows, or fewer than two are left. The co-moments of all pairs are
-    partial sums of one aggregate, so nothing is shuffled but one row a task.
+    column does not vary on these rows, or none is left. Every row meets every pair inside its task,
+    and only the co-moments of the pairs leave it.
     """
-
-    def present(c: str) -> Column:
-        value = F.col(c).cast("double")
-        return F.when(~F.isnan(value), value)
-
-    def spread(x: str, other: str) -> Column:
-        return F.stddev_pop(F.when(F.col(other).isNotNull(), F.col(x)))
-
-    pairs = list(combinations(columns, 2))
-    values = df.select(*[present(c).alias(c) for c in columns])
-    sums = values.agg(*[
-        F.try_divide(F.covar_pop(a, b), spread(a, b) * spread(b, a)).alias(f"{a}|{b}") for a, b in pairs
-    ])
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{a}|{b}").alias("r"))
-        for a, b in pairs
-    ])
-    return sums.select(F.inline(rows))
+    spark = df.sparkSession
+    pairs = list(combinations(range(len(columns)), 2))
+    values = [F.when(~F.isnan(x), x) for x in (F.col(c).cast("double") for c in columns)]
+    # A row of nulls adds to no pair, but makes all pairs known.
+    nothing = spark.range(1).select(F.array(*[F.lit(None).cast("double") for _ in columns]).alias("v"))
+    every = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])).alias("pair")
+    rows = df.select(F.array(*values).alias("v")).union(nothing).select("v", every)
+    x, y = F.get("v", F.col("pair.i")), F.get("v", F.col("pair.j"))
+    points = rows.select("pair.i", "pair.j", F.when(y.isNotNull(), x).alias("x"), F.when(x.isNotNull(), y).alias("y"))
+    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    names = F.array(*[F.lit(c) for c in columns])
+    found = points.groupBy("i", "j").agg(r.alias("r"))
+    return found.select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"), "r")
 
 
 SEVEN_FEATURES = [
