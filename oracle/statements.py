@@ -375,6 +375,10 @@ SELECT {revenue} AS revenue, CAST(sum(total_orders) AS BIGINT) AS orders, count(
 SELECT Segment, {revenue} AS total_revenue, {pct(revenue, f'(SELECT {revenue} FROM sel)')} AS share FROM sel GROUP BY Segment""",
         "dash_recency_revenue": "SELECT CustomerID, Recency, total_revenue, Segment, total_orders FROM sel",
         "dash_geo": f"SELECT Country, {revenue} AS total_revenue, count(*) AS customers FROM sel GROUP BY Country",
+        "dash_cards_all": f"""
+SELECT {revenue} AS revenue, CAST(sum(total_orders) AS BIGINT) AS orders, count(*) AS customers,
+  {revenue} / sum(total_orders) AS aov, {pct('count(*) FILTER (is_repeat_customer = 1)', 'count(*)')} AS repeat_pct FROM c360""",
+        "dash_geo_all": f"SELECT Country, {revenue} AS total_revenue, count(*) AS customers FROM c360 GROUP BY Country",
         "dash_preferred_day": "SELECT preferred_day AS day, count(*) AS customers FROM sel GROUP BY 1",
         "dash_preferred_hour": "SELECT preferred_hour AS hour, count(*) AS customers FROM sel GROUP BY 1",
         "dash_aov_hist": histogram(
@@ -430,6 +434,7 @@ SELECT Segment, customers, revenue, revenue / orders AS aov FROM (
         "pbi_bottom_products": top(by_product, 10, "revenue, Description"),
         "revenue_by_category": f"SELECT substr(StockCode, 1, 2) AS category, {revenue} AS revenue FROM fact GROUP BY 1",
         "revenue_by_date": f"SELECT DateKey AS period, {revenue} AS revenue FROM fact GROUP BY 1",
+        "revenue_by_month": f"SELECT YearMonth AS period, {revenue} AS revenue FROM fact GROUP BY 1",
         "revenue_geo": f"""
 SELECT dimc.Country, {revenue} AS revenue FROM fact JOIN dimc ON fact.CustomerID = dimc.CustomerID GROUP BY dimc.Country""",
         "pbi_sliced_measures": measures.format(where="""

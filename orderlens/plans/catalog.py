@@ -1,6 +1,6 @@
 """Every query by name: what it starts from and which operator answers it."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from orderlens.operators import (
     warehouse,
 )
 from orderlens.plans.inputs import Inputs
+from orderlens.sources.files import write_mart
 
 Query = Callable[[Inputs], DataFrame]
 
@@ -66,11 +67,9 @@ STAR: dict[str, Query] = {
     "clean_sales": lambda i: i.sales,
     "lines_with_cancellations": lambda i: i.with_cancellations,
     "dim_customers": lambda i: i.customers,
-    "dim_products": lambda i: star.dim_products(i.fact),
-    "dim_date": lambda i: star.dim_date(i.fact),
-    "star_join": lambda i: star.star_join(
-        i.fact, i.customers, star.dim_products(i.fact), star.dim_date(i.fact)
-    ),
+    "dim_products": lambda i: i.products,
+    "dim_date": lambda i: i.dates,
+    "star_join": lambda i: star.star_join(i.fact, i.customers, i.products, i.dates),
 }
 
 SALES: dict[str, Query] = {
@@ -159,6 +158,8 @@ DASHBOARD: dict[str, Query] = {
     "dash_segment_revenue": lambda i: dashboard.segment_revenue(i.selection),
     "dash_recency_revenue": lambda i: dashboard.recency_revenue(i.selection),
     "dash_geo": lambda i: dashboard.geo(i.selection),
+    "dash_cards_all": lambda i: dashboard.cards(i.customer_360),
+    "dash_geo_all": lambda i: dashboard.geo(i.customer_360),
     "dash_preferred_day": lambda i: dashboard.preferred_day(i.selection),
     "dash_preferred_hour": lambda i: dashboard.preferred_hour(i.selection),
     "dash_aov_hist": lambda i: shown(dashboard.aov_hist(i.selection)),
@@ -183,6 +184,7 @@ MEASURES: dict[str, Query] = {
     "pbi_bottom_products": lambda i: measures.bottom_products(i.fact),
     "revenue_by_category": lambda i: measures.revenue_by_category(i.fact),
     "revenue_by_date": lambda i: measures.revenue_by_date(i.fact),
+    "revenue_by_month": lambda i: measures.revenue_by_date(i.fact, "month"),
     "revenue_geo": lambda i: measures.revenue_geo(i.fact, i.customers),
     "pbi_sliced_measures": lambda i: measures.pbi_measures(
         star.in_period(i.fact, "1996-01-01", "1998-12-31", ["Ireland", "South Africa", "Nation_7"])
@@ -201,6 +203,16 @@ GROUPS = {
 }
 
 
+def write_reports(inputs: Inputs, folder: str, groups: Iterable[str] = GROUPS, form: str = "parquet") -> list[str]:
+    """Write the result of every query of ``groups`` to a table of its name; returns the names."""
+    names = []
+    for group in groups:
+        for name, query in GROUPS[group].items():
+            write_mart(query(inputs), folder, name, form=form)
+            names.append(name)
+    return names
+
+
 def _on_folder(query: Query) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: query(Inputs(spark, folder))
 

@@ -43,6 +43,14 @@ class Inputs:
     def customers(self) -> DataFrame:
         return star.dim_customers(self.fact)
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return star.dim_products(self.fact)
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return star.dim_date(self.fact)
+
     @cached_property
     def features(self) -> DataFrame:
         return features.customer_features(self.sales)

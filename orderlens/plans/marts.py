@@ -81,6 +81,14 @@ class StoredInputs(Inputs):
     def customers(self) -> DataFrame:
         return self._stored("dim_customers")
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._stored("dim_products")
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return self._stored("dim_date")
+
     @cached_property
     def features(self) -> DataFrame:
         return self._stored("customer_features")
