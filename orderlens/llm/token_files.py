@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.tables import drop_stored, in_slices, shared_folder, stored
-from orderlens.llm.tokens import VOCABULARY, WordTokenizer
+from orderlens.llm.tokens import VOCABULARY, word_tokenizer
 
 END_ID = 2
 
@@ -58,17 +58,23 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     return np.ascontiguousarray(words).view("<u4").ravel() & MASKS[lengths]
 
 
+def id_type(vocabulary_size: int) -> str:
+    """The bytes of an id in work tables."""
+    return "<u2" if vocabulary_size <= 1 << 16 else "<u4"
+
+
 def token_blocks(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABULARY, special_ids: bool = False) -> DataFrame:
     """Blocks of documents in ascending order with their raw ids, still to be ranked."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, block, before = WordTokenizer(vocabulary, special_ids=special_ids), 0, 0
+        tokenizer, block, before = word_tokenizer(vocabulary, special_ids), 0, 0
+        kind = id_type(tokenizer.tokenizer.get_vocab_size())
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             part = batch.column("part")[0].as_py() if batch.num_rows else 0
             for low, high in in_slices(texts, BLOCK_CHARS):
                 flat, count = tokenizer.encode(texts[low:high])
-                flat = np.insert(flat, np.cumsum(count), end_id).astype("<u4")
+                flat = np.insert(flat, np.cumsum(count), end_id).astype(kind)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part], pa.int32()),
@@ -90,10 +96,10 @@ def id_ranks(blocks: DataFrame, vocabulary_size: int) -> np.ndarray:
     """Rank of every id by its count over all blocks; at most one row per vocabulary id is gathered."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(vocabulary_size, np.int64)
+        total, kind = np.zeros(vocabulary_size, np.int64), id_type(vocabulary_size)
         for batch in batches:
             for ids in batch.column("ids"):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=vocabulary_size)
+                total += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=vocabulary_size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
 
@@ -108,7 +114,8 @@ def id_ranks(blocks: DataFrame, vocabulary_size: int) -> np.ndarray:
 def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, vocabulary: str = VOCABULARY, special_ids: bool = False) -> None:
     """Write the shards of ``docs`` under ``folder``/shards and their rank table under ``folder``/ranks."""
     spark = docs.sparkSession
-    size = WordTokenizer(vocabulary).tokenizer.get_vocab_size()
+    size = word_tokenizer(vocabulary, special_ids).tokenizer.get_vocab_size()
+    kind = id_type(size)
     blocks = stored(token_blocks(docs, end_id, vocabulary, special_ids))
     ranks = id_ranks(blocks, size)
 
@@ -116,7 +123,7 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, vocabu
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                control, data = encode_ranks(ranks[np.frombuffer(row.column("ids")[0].as_buffer(), "<u4")])
+                control, data = encode_ranks(ranks[np.frombuffer(row.column("ids")[0].as_buffer(), kind)])
                 columns = [row.column(c) for c in ("part", "block", "before", "doc_ids", "counts")]
                 columns += [pa.array([control], pa.binary()), pa.array([data], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["part", "block", "before", "doc_ids", "counts", "control", "data"])

@@ -12,6 +12,7 @@ library has it by default, and plain text without.
 import itertools
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -175,3 +176,9 @@ class WordTokenizer:
         place = np.repeat(self.starts[word] - (ends - size), size) + np.arange(total)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
         return self.flat[place], np.diff(bounds)
+
+
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str = VOCABULARY, special_ids: bool = False) -> WordTokenizer:
+    """The tokenizer of this process: tasks that follow each other in a worker share its words."""
+    return WordTokenizer(path, special_ids=special_ids)
