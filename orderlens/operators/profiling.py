@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import stored
 from orderlens.functions.numeric import percent, sample_kurtosis, sample_skewness
 from orderlens.functions.quantiles import quantile_limits
 from orderlens.functions.times import whole_days, year_month
@@ -86,6 +87,9 @@ def duplicate_report(raw: DataFrame, keys: Sequence[str] = DUPLICATE_KEYS) -> Da
 
 
 def numeric_describe(raw: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """Moments and quartiles; the columns are written once for the passes of the quartiles."""
+    raw = stored(raw.select(*columns))
+
     def moments_of(c: str):
         value = F.col(c).cast("double")
         quarters = quantile_limits(raw, c, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
