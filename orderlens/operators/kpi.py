@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import stored
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import EXACT, exact_sum, percent
 from orderlens.functions.quantiles import quantile_limits
@@ -73,7 +74,7 @@ def executive_kpis(sales: DataFrame) -> DataFrame:
 
 def clv_hist(sales: DataFrame, q: float = 0.99, bins: int = 50) -> DataFrame:
     """Revenue per customer; customers above the q-quantile are left out of the picture."""
-    revenues = revenue_per_customer(sales)
+    revenues = stored(revenue_per_customer(sales).select("revenue"))
     limit = quantile_limits(revenues, "revenue", {"q": q})["q"]
     return histogram(revenues, "revenue", bins, keep_below=limit)
 
@@ -84,9 +85,11 @@ def clv_stats(sales: DataFrame) -> DataFrame:
 
 def revenue_vs_orders(sales: DataFrame, q: float = 0.99) -> DataFrame:
     """One row per customer, with the q-quantiles of both measures as view limits."""
-    customers = sales.groupBy("CustomerID").agg(
-        exact_sum("TotalAmount").alias("Revenue"),
-        F.countDistinct("InvoiceNo").alias("Orders"),
+    customers = stored(
+        sales.groupBy("CustomerID").agg(
+            exact_sum("TotalAmount").alias("Revenue"),
+            F.countDistinct("InvoiceNo").alias("Orders"),
+        )
     )
     revenue_limit = quantile_limits(customers, "Revenue", {"q": q})["q"]
     orders_limit = customers.agg(F.percentile("Orders", F.lit(q))).scalar()
