@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import stored
 from orderlens.functions.numeric import exact_mean, exact_sum, percent
 from orderlens.functions.quantiles import quantile_limits
 from orderlens.functions.times import year_month
@@ -30,6 +31,8 @@ def order_size_hist(sales: DataFrame, q: float = 0.95, bins: int = 50) -> DataFr
 
 
 def median_and_mean(values: DataFrame, value: str) -> DataFrame:
+    # The passes of the median and the mean read the values, not what they were made from.
+    values = stored(values.select(value))
     median = quantile_limits(values, value, {"median": 0.5})["median"]
     return values.agg(exact_mean(value).alias("mean")).select(median.alias("median"), "mean")
 
