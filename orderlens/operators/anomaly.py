@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import stored
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import exact_sum
 from orderlens.functions.quantiles import quantile_limits
@@ -45,13 +46,15 @@ def iqr_fences(sales: DataFrame, factor: float = IQR_FACTOR) -> tuple[Column, Co
 
 def iqr_outliers(sales: DataFrame, factor: float = IQR_FACTOR) -> DataFrame:
     """Lines whose amount lies strictly outside the quartile fences."""
-    lower, upper = iqr_fences(sales, factor)
-    amount = F.col("TotalAmount")
-    return sales.filter((amount < lower) | (amount > upper)).select(
-        "InvoiceNo", "StockCode", "CustomerID", "InvoiceDate", "Quantity", "UnitPrice", "TotalAmount"
+    lines = stored(
+        sales.select("InvoiceNo", "StockCode", "CustomerID", "InvoiceDate", "Quantity", "UnitPrice", "TotalAmount")
     )
+    lower, upper = iqr_fences(lines, factor)
+    amount = F.col("TotalAmount")
+    return lines.filter((amount < lower) | (amount > upper))
 
 
 def amount_hist(sales: DataFrame, bins: int = 100, factor: float = IQR_FACTOR) -> DataFrame:
     """Line amounts up to the upper fence."""
-    return histogram(sales, "TotalAmount", bins, keep_below=iqr_fences(sales, factor)[1])
+    amounts = stored(sales.select("TotalAmount"))
+    return histogram(amounts, "TotalAmount", bins, keep_below=iqr_fences(amounts, factor)[1])

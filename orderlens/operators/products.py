@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import stored
 from orderlens.functions.histogram import histogram
 from orderlens.functions.numeric import exact_mean, exact_sum
 from orderlens.functions.quantiles import quantile_limits
@@ -33,8 +34,9 @@ def top_products_quantity(sales: DataFrame, k: int = 20) -> DataFrame:
 
 def clipped_histogram(df: DataFrame, value: str, q: float, bins: int) -> DataFrame:
     """Histogram after moving values above their q-quantile down to it."""
-    limit = quantile_limits(df, value, {"q": q})["q"]
-    return histogram(df, value, bins, clip=limit)
+    values = stored(df.select(value))
+    limit = quantile_limits(values, value, {"q": q})["q"]
+    return histogram(values, value, bins, clip=limit)
 
 
 def price_hist(sales: DataFrame, q: float = 0.95, bins: int = 50) -> DataFrame:
@@ -42,8 +44,9 @@ def price_hist(sales: DataFrame, q: float = 0.95, bins: int = 50) -> DataFrame:
 
 
 def price_stats(sales: DataFrame) -> DataFrame:
-    median = quantile_limits(sales, "UnitPrice", {"median": 0.5})["median"]
-    return sales.agg(
+    prices = stored(sales.select("UnitPrice"))
+    median = quantile_limits(prices, "UnitPrice", {"median": 0.5})["median"]
+    return prices.agg(
         exact_mean("UnitPrice").alias("mean"),
         F.min("UnitPrice").alias("min"),
         F.max("UnitPrice").alias("max"),

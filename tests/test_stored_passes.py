@@ -12,7 +12,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["numeric_describe", "revenue_vs_orders", "clv_hist", "clv_stats", "order_size_stats"])
+@pytest.mark.parametrize("name", [
+    "numeric_describe", "revenue_vs_orders", "clv_stats", "clv_hist", "order_size_stats", "order_size_hist",
+    "price_stats", "price_hist", "amount_hist", "iqr_outliers"])
 def test_passes_over_a_column_do_not_make_it_again(spark, name):
     assert "lineitem" not in plan_of(catalog.queries()[name](spark, FOLDER))
 
