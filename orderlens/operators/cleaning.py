@@ -64,33 +64,38 @@ def calendar(lines: DataFrame) -> DataFrame:
     )
 
 
-def fact_transactions(raw: DataFrame) -> DataFrame:
-    lines = (
-        raw.select(*LINE_COLUMNS)
-        .dropDuplicates()
-        .na.drop(subset=["CustomerID"])
-        .filter(~has_bad_price())
-        .na.fill({"Description": UNKNOWN})
-        .withColumns(
-            {
-                "IsCancellation": is_cancellation().cast("tinyint"),
-                "IsReturn": is_return().cast("tinyint"),
-                "TotalAmount": total_amount(),
-                "Country": standard_country(F.col("Country")),
-            }
-        )
+def customer_lines(raw: DataFrame) -> DataFrame:
+    """Every line of a known customer once."""
+    return raw.select(*LINE_COLUMNS).na.drop(subset=["CustomerID"]).dropDuplicates()
+
+
+def fact_of(lines: DataFrame) -> DataFrame:
+    """The fact population of ``customer_lines``, without calendar columns."""
+    return lines.filter(~has_bad_price()).withColumns(
+        {
+            "IsCancellation": is_cancellation().cast("tinyint"),
+            "IsReturn": is_return().cast("tinyint"),
+            "TotalAmount": total_amount(),
+            "Country": standard_country(F.col("Country")),
+        }
     )
-    return calendar(lines)
+
+
+def fact_transactions(raw: DataFrame) -> DataFrame:
+    return calendar(fact_of(customer_lines(raw)).na.fill({"Description": UNKNOWN}))
+
+
+def is_sale() -> Column:
+    return ~is_cancellation() & (F.col("Quantity") > 0) & (F.col("UnitPrice") > 0)
+
+
+def sales_of(lines: DataFrame) -> DataFrame:
+    """The sales population of ``customer_lines``."""
+    return lines.filter(is_sale()).withColumn("TotalAmount", total_amount())
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:
-    return (
-        raw.select(*LINE_COLUMNS)
-        .na.drop(subset=["CustomerID"])
-        .filter(~is_cancellation() & (F.col("Quantity") > 0) & (F.col("UnitPrice") > 0))
-        .dropDuplicates()
-        .withColumn("TotalAmount", total_amount())
-    )
+    return sales_of(customer_lines(raw))
 
 
 def lines_with_cancellations(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.functions.durable import durable
+from orderlens.functions.durable import durable, stored_by
 from orderlens.operators import cleaning, dashboard, features, rfm, sketches, star
 from orderlens.sources import retail
 
@@ -65,8 +65,17 @@ class Inputs:
 
     @cached_property
     def customer_360(self) -> DataFrame:
-        """Written once, as a dashboard reads one stored table many times."""
-        return durable(dashboard.customer_360(self.segments, self.features, self.customers))
+        """Written once, as a dashboard reads one stored table many times.
+
+        Its three parts group by customer, so the distinct lines are stored by customer first.
+        """
+        lines = stored_by(cleaning.customer_lines(self.raw).drop("Description"), "CustomerID")
+        sales, fact = cleaning.sales_of(lines), cleaning.fact_of(lines)
+        return durable(
+            dashboard.customer_360(
+                rfm.segments_of_sales(sales), features.customer_features(sales), star.dim_customers(fact)
+            )
+        )
 
     @cached_property
     def selection(self) -> DataFrame:

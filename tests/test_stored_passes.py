@@ -1,8 +1,12 @@
 """Queries of several passes read what they need from one stored table."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderlens.functions.durable import stored_by
+from orderlens.operators import cleaning
 from orderlens.plans import catalog
+from orderlens.plans.inputs import Inputs
 from orderlens.sources import retail
 
 FOLDER = "/root/testdata/sf0.001"
@@ -19,6 +23,21 @@ def test_passes_over_a_column_do_not_make_it_again(spark, name):
     assert "lineitem" not in plan_of(catalog.queries()[name](spark, FOLDER))
 
 
+def test_lines_stored_by_customer_group_without_a_shuffle(spark):
+    lines = stored_by(spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "k long, v string"), "k")
+    counts = lines.groupBy("k").agg(F.countDistinct("v").alias("n"))
+    assert "Exchange" not in plan_of(counts)
+    assert sorted(map(tuple, counts.collect())) == [(1, 2), (2, 1)]
+
+
+def test_dashboard_lines_are_joined_once(spark, monkeypatch):
+    inputs = Inputs(spark, FOLDER)
+    made = []
+    monkeypatch.setattr(cleaning, "customer_lines", lambda raw, of=cleaning.customer_lines: made.append(raw) or of(raw))
+    inputs.customer_360
+    assert len(made) == 1 and not {"sales", "fact", "features"} & set(inputs.__dict__)
+
+
 def test_buyers_meet_orders_before_lines(spark):
     plan = retail.raw_lines(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
