@@ -167,11 +167,10 @@ def compare(packed_text: tuple[np.ndarray, int], a: np.ndarray, b: np.ndarray, m
 
 def smaller_types(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the one after it; the last symbol is the unique least."""
-    step = np.sign(np.diff(text.astype(np.int64)))
-    step = np.append(step, 1)
-    place = np.where(step != 0, np.arange(len(step)), len(step) - 1)
-    after = np.minimum.accumulate(place[::-1])[::-1]
-    smaller = step[after] > 0
+    rises, differs = (np.append(x, True) for x in (text[1:] > text[:-1], text[1:] != text[:-1]))
+    kind = np.int32 if len(text) < 1 << 31 else np.int64
+    place = np.where(differs, np.arange(len(text), dtype=kind), kind(len(text) - 1))
+    smaller = rises[np.minimum.accumulate(place[::-1])[::-1]]
     smaller[-1] = True
     return smaller
 
@@ -267,10 +266,12 @@ def suffix_order(text: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     is_lms = np.zeros(len(text), bool)
     is_lms[lms] = True
     sorted_lms = rough[is_lms[rough]]
-    number = np.full(len(text), -1, np.int64)
+    del rough, is_lms, seeds
+    number = np.full(len(text), -1, np.int32 if len(text) < 1 << 31 else np.int64)
     number[lms] = np.arange(len(lms))
     length = np.append(np.diff(lms), 0) + 1  # with the next LMS symbol
     ranks = number[sorted_lms]
+    del number
     same = equal_parts(text, sorted_lms, length[ranks])
     name = np.empty(len(lms), np.int64)
     name[ranks] = np.cumsum(~same) - 1

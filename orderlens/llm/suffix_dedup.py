@@ -110,12 +110,14 @@ def segment_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
     """Starts of the windows of each part that also start elsewhere in the parts."""
     sizes = np.array([len(p) for p in parts], np.int64)
-    text = np.frombuffer(b"\0".join(parts) + b"\0\0", np.uint8).astype(np.int16) + 2
+    text = np.frombuffer(b"\0".join(parts) + b"\0\0", np.uint8).astype(np.int16)
+    text += 2
     starts = np.cumsum(sizes + 1) - (sizes + 1)
     text[starts[1:] - 1] = 1  # between parts: no window runs over it
     text[-2], text[-1] = 1, 0
-    # Dense symbols: texts rarely use more than 256 of them, which the sort packs into bytes.
-    text = np.unique(text, return_inverse=True)[1]
+    # Dense symbols, a byte each if there are at most 256 of them, as in every UTF-8 text.
+    used = np.bincount(text) > 0
+    text = (np.cumsum(used) - 1).astype(np.uint8 if used.sum() <= 256 else np.int16)[text]
     order, shared = suffix_order(text, length)
     hit = np.flatnonzero(shared >= length)
     found = np.unique(np.concatenate([order[hit], order[hit - 1]]))
