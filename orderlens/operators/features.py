@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.distinct import distinct_counts
 from orderlens.functions.durable import durable
 from orderlens.functions.numeric import exact_mean, exact_sum
 from orderlens.functions.times import DAYS_PER_MONTH, day_after, whole_days
@@ -35,13 +36,14 @@ def reference_date(customers: DataFrame, last: str) -> Column:
     return customers.agg(day_after(F.max(last))).scalar()
 
 
-def customer_features(sales: DataFrame) -> DataFrame:
+def customer_features(sales: DataFrame, in_buckets: bool = False) -> DataFrame:
     """Sixteen features per customer.
 
     Everything additive comes from one aggregation; its modes keep one counter per weekday, hour
     and country, domains that do not grow with the lines. The distinct counts are a second pass,
     which needs no removal of copies. The joined rows, one per customer, are written once: the
-    last purchase of all is read from them, not from the lines.
+    last purchase of all is read from them, not from the lines. ``in_buckets`` says that the lines are
+    stored in buckets of the customer (``stored_by``).
     """
     at = F.col("InvoiceDate")
     base = sales.groupBy("CustomerID").agg(
@@ -54,11 +56,8 @@ def customer_features(sales: DataFrame) -> DataFrame:
         F.mode(F.hour(at), True).alias("preferred_hour"),
         F.mode("Country", True).alias("country"),
     )
-    variety = sales.groupBy("CustomerID").agg(
-        F.countDistinct("InvoiceNo").alias("total_orders"),
-        F.countDistinct("StockCode").alias("unique_products"),
-        F.countDistinct(category()).alias("unique_categories"),
-    )
+    distinct = {"total_orders": "InvoiceNo", "unique_products": "StockCode", "unique_categories": category()}
+    variety = distinct_counts(sales, "CustomerID", distinct, in_buckets)
     customers = durable(base.join(variety, "CustomerID"))
 
     orders = F.col("total_orders").cast("double")

@@ -3,16 +3,17 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.distinct import distinct_counts
 from orderlens.functions.numeric import EXACT
 from orderlens.functions.times import whole_days
 
 
-def dim_customers(fact: DataFrame) -> DataFrame:
+def dim_customers(fact: DataFrame, in_buckets: bool = False) -> DataFrame:
     """``AvgOrderValue`` is the mean line amount, and revenue is net of returns.
 
     Country is the one of the earliest line, ties alphabetical, as lines have no file order. Lines
     add up per (customer, country) first; the distinct counts are a pass of their own, which needs
-    no removal of copies.
+    no removal of copies. ``in_buckets`` says that the lines are stored in buckets of the customer.
     """
     per_country = fact.groupBy("CustomerID", "Country").agg(
         F.min("InvoiceDate").alias("first"),
@@ -29,10 +30,7 @@ def dim_customers(fact: DataFrame) -> DataFrame:
         F.sum("amount").cast("double").alias("TotalRevenue"),
         F.try_divide(F.sum("amount").cast("double"), F.sum("lines")).alias("AvgOrderValue"),
     )
-    variety = fact.groupBy("CustomerID").agg(
-        F.countDistinct("InvoiceNo").alias("TotalOrders"),
-        F.countDistinct("StockCode").alias("UniqueProducts"),
-    )
+    variety = distinct_counts(fact, "CustomerID", {"TotalOrders": "InvoiceNo", "UniqueProducts": "StockCode"}, in_buckets)
     return totals.join(variety, "CustomerID").select(
         "CustomerID",
         "Country",

@@ -73,7 +73,9 @@ class Inputs:
         sales, fact = cleaning.sales_of(lines), cleaning.fact_of(lines)
         return durable(
             dashboard.customer_360(
-                rfm.segments_of_sales(sales), features.customer_features(sales), star.dim_customers(fact)
+                rfm.segments_of_sales(sales),
+                features.customer_features(sales, in_buckets=True),
+                star.dim_customers(fact, in_buckets=True),
             )
         )
 

@@ -3,8 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens.functions.distinct import distinct_counts
 from orderlens.functions.durable import stored_by
-from orderlens.operators import cleaning
+from orderlens.operators import cleaning, dashboard, features
 from orderlens.plans import catalog
 from orderlens.plans.inputs import Inputs
 from orderlens.sources import retail
@@ -43,3 +44,21 @@ def test_buyers_meet_orders_before_lines(spark):
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     # Lines with parts, lines with orders, orders with buyers, buyers with nations.
     assert [next(k for k in ("pk#", "ok#", "ck#", "c_nationkey#") if k in j) for j in joins] == ["pk#", "ok#", "ck#", "c_nationkey#"]
+
+
+def test_distinct_counts_of_lines_in_buckets_need_no_shuffle(spark):
+    lines = stored_by(spark.createDataFrame([(1, "a", 5), (1, "b", 5), (2, "a", 6), (2, None, 6)], "k long, v string, w long"), "k")
+    counts = distinct_counts(lines, "k", {"n": "v", "m": F.col("w") % 5}, in_buckets=True)
+    assert "hashpartitioning" not in plan_of(counts)
+    assert sorted(map(tuple, counts.collect())) == [(1, 2, 1), (2, 1, 1)]
+    assert sorted(map(tuple, distinct_counts(lines, "k", {"n": "v", "m": F.col("w") % 5}).collect())) == [(1, 2, 1), (2, 1, 1)]
+
+
+def test_dashboard_parts_read_bucketed_lines_without_copying_rows(spark, monkeypatch):
+    plans = []
+    for module, name in ((features, "durable"), (dashboard, "customer_360")):
+        monkeypatch.setattr(module, name, lambda *dfs, of=getattr(module, name): plans.extend(map(plan_of, dfs)) or of(*dfs))
+    Inputs(spark, FOLDER).customer_360
+    assert len(plans) == 4 and not any("Expand" in p for p in plans)
+    # The base of the features and the dimension; small joins may be broadcast.
+    assert "hashpartitioning" not in plans[0] + plans[3]
