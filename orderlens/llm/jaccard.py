@@ -86,11 +86,21 @@ def gram_sets(texts: list[str], n: int, powers: Powers) -> list[np.ndarray]:
     return out
 
 
-def sets_of(texts: list[str | None], n: int, powers: Powers) -> Iterator[np.ndarray]:
-    """The n-gram set of each text, made a slice of texts at a time."""
-    texts = [t or "" for t in texts]
-    for low, high in in_slices(texts, SLICE_CHARS):
-        yield from gram_sets(texts[low:high], n, powers)
+def text_slices(columns: list[pa.Array], most_chars: int) -> Iterator[tuple[int, int]]:
+    """``in_slices`` by the rows' characters in all columns of texts, before any of them is a Python string."""
+    sizes = sum(pc.fill_null(pc.utf8_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    ends, low = np.cumsum(sizes), 0
+    while low < len(ends):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + most_chars, "right")))
+        yield low, high
+        low = high
+
+
+def sets_of(texts: pa.Array | pa.ChunkedArray, n: int, powers: Powers) -> Iterator[np.ndarray]:
+    """The n-gram set of each text, made a slice of texts at a time; only that slice is Python strings."""
+    for low, high in text_slices([texts], SLICE_CHARS):
+        yield from gram_sets([t or "" for t in texts.slice(low, high - low).to_pylist()], n, powers)
 
 
 def prefix_size(n: int, percent: int) -> int:
@@ -124,6 +134,33 @@ def unpacked(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in column.to_pylist()]
 
 
+def token_counts(texts: pa.Array, n: int, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, rows that have each) of the texts."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *sets_of(texts, n, powers)]), return_counts=True)
+
+
+def dealt(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The tokens of each block in packed lists, by the bucket that counts them; the sets of one block are made at a time."""
+    powers = Powers()
+    for batch in batches:
+        texts, blks = batch.column("text"), batch.column("blk").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(blks)) + 1), len(blks)]
+        rows = []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            token, held = token_counts(texts.slice(a, b - a), n, powers)
+            if not len(token):
+                continue
+            bucket = (mix(token) % np.uint64(buckets)).astype(np.int64)
+            # Two bytes are sorted by counting, much faster than eight.
+            order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+            here, starts = np.unique(bucket[order], return_index=True)
+            ends = [*starts[1:], len(order)]
+            rows += [(bucket, blks[a], token[order[i:j]].tobytes(), held[order[i:j]].astype(np.uint16 if held.max() < 1 << 16 else np.int64).tobytes()) for bucket, i, j in zip(here, starts, ends, strict=True)]
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "blk", "tokens", "counts"])
+
+
 def common_tokens(texts: DataFrame, n: int) -> DataFrame:
     """(blk, tokens, counts): for every block its tokens that at least ``COMMON_FROM`` rows have, and in how many.
 
@@ -133,26 +170,6 @@ def common_tokens(texts: DataFrame, n: int) -> DataFrame:
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, -(-chars // BUCKET_CHARS))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            tokens, blks = list(sets_of(batch.column("text").to_pylist(), n, powers)), batch.column("blk").to_numpy()
-            edges = [0, *(np.flatnonzero(np.diff(blks)) + 1), len(blks)]
-            rows = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if not sum(map(len, tokens[a:b])):
-                    continue
-                token, held = np.unique(np.concatenate(tokens[a:b]), return_counts=True)
-                bucket = (mix(token) % np.uint64(buckets)).astype(np.int64)
-                # Two bytes are sorted by counting, much faster than eight.
-                order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-                here, starts = np.unique(bucket[order], return_index=True)
-                ends = [*starts[1:], len(order)]
-                rows += [(bucket, blks[a], token[order[i:j]].tobytes(), held[order[i:j]].astype(np.uint16 if held.max() < 1 << 16 else np.int64).tobytes()) for bucket, i, j in zip(here, starts, ends, strict=True)]
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["bucket", "blk", "tokens", "counts"])
-
     def count(lists: pa.Table) -> pa.Table:
         tokens = unpacked(lists.column("tokens"))
         counts = [np.frombuffer(x, np.uint16 if len(x) == 2 * len(t) else np.int64) for x, t in zip(lists.column("counts").to_pylist(), tokens, strict=True)]
@@ -167,8 +184,8 @@ def common_tokens(texts: DataFrame, n: int) -> DataFrame:
                     part.append(values)
         return pa.table({"blk": pa.array(out[0], pa.int64()), "tokens": pa.array(out[1], pa.binary()), "counts": pa.array(out[2], pa.binary())})
 
-    dealt = texts.select("blk", "text").mapInArrow(deal, "bucket long, blk long, tokens binary, counts binary")
-    return dealt.groupBy("bucket").applyInArrow(count, "blk long, tokens binary, counts binary")
+    lists = texts.select("blk", "text").mapInArrow(lambda batches: dealt(batches, n, buckets), "bucket long, blk long, tokens binary, counts binary")
+    return lists.groupBy("bucket").applyInArrow(count, "blk long, tokens binary, counts binary")
 
 
 def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -182,7 +199,7 @@ def document_features(docs: DataFrame, n: int, percent: int) -> DataFrame:
         tokens, first = np.unique(tokens, return_index=True)
         counts = counts[first]
         sizes, hashes, prefixes, sketches = [], [], [], []
-        for u in sets_of(left.column("text").to_pylist(), n, Powers()):
+        for u in sets_of(left.column("text"), n, Powers()):
             spread = mix(u)
             two = (np.bitwise_xor.reduce(spread) if len(u) else 0, np.add.reduce(mix(spread ^ np.uint64(7))) if len(u) else 0)
             hashes.append(np.array(two, np.uint64).tobytes())
@@ -249,6 +266,13 @@ def similar(pairs: list[tuple[str, str]], n: int, percent: int, powers: Powers)
             yield 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def similar_rows(left: pa.Array, right: pa.Array, n: int, percent: int, powers: Powers) -> Iterator[bool]:
+    """``similar`` of the pairs of texts in two columns; only a slice of them is Python strings."""
+    for low, high in text_slices([left, right], SLICE_CHARS):
+        first, second = ([t or "" for t in c.slice(low, high - low).to_pylist()] for c in (left, right))
+        yield from similar(list(zip(first, second, strict=True)), n, percent, powers)
+
+
 def similar_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of document ids whose sets are similar enough, counted exactly."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
@@ -261,8 +285,7 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> Da
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            pairs = list(zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True))
-            keep = list(similar(pairs, n, percent, powers))
+            keep = list(similar_rows(batch.column("text_a"), batch.column("text_b"), n, percent, powers))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # Few pairs share their second set, many their first one: it is joined last and never multiplied.
