@@ -67,9 +67,10 @@ class Inputs:
     def customer_360(self) -> DataFrame:
         """Written once, as a dashboard reads one stored table many times.
 
-        Its three parts group by customer, so the distinct lines are stored by customer first.
+        Its three parts group by customer, so the lines are dealt by customer once; their copies are
+        removed within the buckets, where the distinct lines are stored.
         """
-        lines = stored_by(cleaning.customer_lines(self.raw).drop("Description"), "CustomerID")
+        lines = stored_by(self.raw, "CustomerID", lambda raw: cleaning.customer_lines(raw).drop("Description"))
         sales, fact = cleaning.sales_of(lines), cleaning.fact_of(lines)
         return durable(
             dashboard.customer_360(

@@ -7,6 +7,7 @@ from orderlens.functions.distinct import distinct_counts
 from orderlens.functions.durable import stored_by
 from orderlens.operators import cleaning, dashboard, features
 from orderlens.plans import catalog
+from orderlens.plans import inputs as plan_inputs
 from orderlens.plans.inputs import Inputs
 from orderlens.sources import retail
 
@@ -62,3 +63,25 @@ def test_dashboard_parts_read_bucketed_lines_without_copying_rows(spark, monkeyp
     assert len(plans) == 4 and not any("Expand" in p for p in plans)
     # The base of the features and the dimension; small joins may be broadcast.
     assert "hashpartitioning" not in plans[0] + plans[3]
+
+
+def test_dashboard_lines_are_dealt_once_and_lose_their_copies_there(spark, monkeypatch):
+    plans = []
+
+    def kept(df, key, within=None):
+        return stored_by(df, key, lambda rows: plans.append(plan_of(within(rows) if within else rows)) or (within(rows) if within else rows))
+
+    monkeypatch.setattr(plan_inputs, "stored_by", kept)
+    inputs = Inputs(spark, FOLDER)
+    inputs.customer_360
+    # Small tables are broadcast to the joins: the lines' only shuffle is the one by customer, without unknown ones.
+    assert len(plans) == 1 and plans[0].count("hashpartitioning") == 1 and "hashpartitioning(CustomerID" in plans[0]
+    before = plans[0][plans[0].index("hashpartitioning") :]
+    assert "isnotnull" in before
+
+
+def test_copies_are_removed_within_buckets(spark):
+    rows = [(1, "a", 1.0), (1, "a", 1.0), (1, "b", 1.0), (2, "a", None), (2, "a", None), (None, "a", 1.0), (None, "a", 1.0)]
+    lines = stored_by(spark.createDataFrame(rows, "k long, v string, w double"), "k", lambda df: df.na.drop(subset=["k"]).dropDuplicates())
+    assert sorted(map(str, lines.collect())) == sorted(map(str, spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (2, "a", None)], "k long, v string, w double").collect()))
+    assert "hashpartitioning" not in plan_of(lines.groupBy("k").count())
