@@ -33,9 +33,7 @@ SHARD_SCHEMA = RAW_SCHEMA.replace("ids binary", "control binary, data binary")
 
 SHIFTS = np.array([0, 2, 4, 6], np.uint8)
 #: Byte lengths of the four ranks that a control byte describes.
-CONTROL_LENGTHS = ((np.arange(256)[:, None] >> SHIFTS) & 3) + 1
-#: Keeps the low bytes of a 32-bit word, by byte length.
-MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+CONTROL_LENGTHS = (((np.arange(256)[:, None] >> SHIFTS) & 3) + 1).astype(np.uint8)
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -44,18 +42,28 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     control = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     control[: len(ranks)] = extra
-    control = (control.reshape(-1, 4) << SHIFTS).sum(axis=1).astype(np.uint8)
-    used = np.arange(4) <= extra[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    control = control.reshape(-1, 4) << SHIFTS
+    control = control[:, 0] | control[:, 1] | control[:, 2] | control[:, 3]
+    ends = np.cumsum(extra, dtype=np.int64) + np.arange(1, len(ranks) + 1)
+    starts = ends - extra - 1
+    data = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    data[starts] = ranks & 0xFF
+    for byte in range(1, int(extra.max(initial=0)) + 1):
+        longer = np.flatnonzero(extra >= byte)
+        data[starts[longer] + byte] = (ranks[longer] >> (8 * byte)) & 0xFF
+    return control.tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The inverse of ``encode_ranks``."""
     lengths = CONTROL_LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
-    starts = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(data + b"\0\0\0\0", np.uint8)
-    words = np.lib.stride_tricks.sliding_window_view(raw, 4)[starts]
-    return np.ascontiguousarray(words).view("<u4").ravel() & MASKS[lengths]
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    raw = np.frombuffer(data, np.uint8)
+    ranks = raw[starts].astype("<u4")
+    for byte in range(1, int(lengths.max(initial=1))):
+        longer = np.flatnonzero(lengths > byte)
+        ranks[longer] |= raw[starts[longer] + byte].astype("<u4") << (8 * byte)
+    return ranks
 
 
 def id_type(vocabulary_size: int) -> str:
@@ -72,21 +80,25 @@ def token_blocks(docs: DataFrame, end_id: int = END_ID, vocabulary: str = VOCABU
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             part = batch.column("part")[0].as_py() if batch.num_rows else 0
-            for low, high in in_slices(texts, BLOCK_CHARS):
-                flat, count = tokenizer.encode(texts[low:high])
-                flat = np.insert(flat, np.cumsum(count), end_id).astype(kind)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part], pa.int32()),
-                        pa.array([block], pa.int32()),
-                        pa.array([before], pa.int64()),
-                        pa.array([batch.column("doc_id").slice(low, high - low).to_pylist()], pa.list_(pa.int64())),
-                        pa.array([count + 1], pa.list_(pa.int64())),
-                        pa.array([flat.tobytes()], pa.binary()),
-                    ],
-                    ["part", "block", "before", "doc_ids", "counts", "ids"],
-                )
-                block, before = block + 1, before + len(flat)
+            # Words are looked up for several blocks at once.
+            for first, last in in_slices(texts):
+                flat, count = tokenizer.encode(texts[first:last])
+                flat = np.insert(flat.astype(kind), np.cumsum(count), end_id)
+                ends = np.concatenate([[0], np.cumsum(count + 1)])
+                for low, high in in_slices(texts[first:last], BLOCK_CHARS):
+                    ids = flat[ends[low] : ends[high]]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([part], pa.int32()),
+                            pa.array([block], pa.int32()),
+                            pa.array([before], pa.int64()),
+                            pa.array([batch.column("doc_id").slice(first + low, high - low).to_pylist()], pa.list_(pa.int64())),
+                            pa.array([count[low:high] + 1], pa.list_(pa.int64())),
+                            pa.array([ids.tobytes()], pa.binary()),
+                        ],
+                        ["part", "block", "before", "doc_ids", "counts", "ids"],
+                    )
+                    block, before = block + 1, before + len(ids)
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(blocks, RAW_SCHEMA)

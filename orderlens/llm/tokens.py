@@ -1,9 +1,10 @@
 """Token ids of whole texts with a public byte-level BPE, one lookup per distinct word.
 
-Byte-level BPE never merges across a single space between two non-blanks, so a text is the
-sequence of its words, each with the space before it. A word of plain characters falls further
+Byte-level BPE never merges across a single space or line feed between two non-blanks, so a text is
+the sequence of its words, each with the space or line feed before it. A word of plain characters falls further
 into runs of letters, digits or signs, which the vocabulary's own pattern never joins. Ids of
-words and runs are looked up in tables that the task fills through the tokenizers library.
+words and runs are looked up in tables that the task fills through the tokenizers library. Arrow
+numbers the words of many texts at once, together with those that are known.
 
 A special token that a text spells out ('<|endoftext|>') is its own id with ``special_ids``, as the
 library has it by default, and plain text without.
@@ -16,11 +17,13 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
-#: Words kept per task before the lookup tables are emptied and filled anew; bounds their memory.
+#: Words kept per task before those that came once leave the lookup tables; bounds their memory.
 CACHED_WORDS = 400_000
 
 #: Every blank of Unicode besides the space and the line feed.
@@ -29,8 +32,12 @@ OTHER_BLANKS = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(ma
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]++|[0-9]++|(?<=[!-ɏ])\n(?=[!-ɏ])|[!-&(-/:-@\[-`{-~]++")
 LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]++")
+LETTERS_THEN_SIGNS = re.compile(r"(\n{0,2}+)([A-Za-zÀ-ÖØ-öø-ɏ]++)([!-&(-/:-@\[-`{-~]*+)")
 PLAIN = re.compile(f"(?:{RUN.pattern})++")
 
+#: Stands before the first word of a text, which has no space before it; no other word begins with it.
+FIRST = "\n\n"
+
 
 #: How the byte-level vocabulary writes bytes: printable ones as they are, others from U+0100 on.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -55,24 +62,32 @@ def is_plain(text: str) -> bool:
     return not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text)
 
 
-def words_of(text: str) -> list[str]:
-    """Cut at the spaces that stand between two non-blanks; the first word is marked by a space."""
-    words = text.split(" ") if is_plain(text) else INNER_SPACE.split(text)
-    words[0] = " " + words[0]
-    return words
+def spaced(text: str) -> str:
+    """A plain text whose words end at a space each: a line feed stays with the word behind it."""
+    return FIRST + text.replace("\n", " \n")
 
 
-class Numbers(dict):
-    """Numbers words in the order of their first look-up, and lists the new ones."""
+def words_of(text: str) -> list[str]:
+    """Cut at the blanks that stand between two non-blanks; the first word is marked."""
+    if is_plain(text):
+        return spaced(text).split(" ")
+    words = INNER_SPACE.split(text)
+    words[0] = FIRST + words[0]
+    return words
 
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.new.append(word)
-        return number
+def word_lists(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in one array, and the number of words of each text."""
+    filled = [t for t in texts if t]
+    if all(map(is_plain, filled)):
+        lists = pc.split_pattern(pa.array(list(map(spaced, filled)), pa.string()), " ")
+        words, sizes = lists.flatten(), lists.value_lengths().to_numpy()
+    else:
+        cut = [words_of(t) for t in filled]
+        words, sizes = pa.array(list(itertools.chain.from_iterable(cut)), pa.string()), [len(c) for c in cut]
+    count = np.zeros(len(texts), np.int64)
+    count[[i for i, t in enumerate(texts) if t]] = sizes
+    return words, count
 
 
 class WordTokenizer:
@@ -93,11 +108,26 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers = Numbers()
+        self.known = pa.array([], pa.string())
+        self.seen = np.zeros(0, np.int64)
         self.runs: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 20, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
+    def make_room(self) -> None:
+        """Forget the words that came once, or all if that leaves more than half of the room."""
+        often = self.seen > 1
+        if 2 * int(often.sum()) > self.cached_words:
+            return self.clear()
+        sizes = np.diff(self.starts)
+        ids = self.flat[: self.starts[-1]][np.repeat(often, sizes)]
+        self.known, starts = self.known.filter(pa.array(often)), np.cumsum(sizes[often])
+        self.seen = np.zeros(len(self.known), np.int64)
+        self.runs = {}
+        self.flat = np.zeros(max(1 << 20, len(ids)), np.uint32)
+        self.flat[: len(ids)] = ids
+        self.starts = np.concatenate([np.zeros(1, np.int64), starts])
+
     def run_ids(self, run: str) -> list[int]:
         """Ids of one run of letters, digits or signs: nothing is left to cut before the merges."""
         if run.isascii():
@@ -114,7 +144,7 @@ class WordTokenizer:
     def word_ids(self, word: str) -> list[int]:
         if LETTERS.fullmatch(word):
             return self.run_ids(" " + word)
-        text = word[1:] if word[:1] == " " else " " + word
+        text = word.removeprefix(FIRST) if word[:1] == "\n" else " " + word
         body = text.removeprefix(" ")
         if PLAIN.fullmatch(body):
             runs = RUN.findall(body)
@@ -125,17 +155,19 @@ class WordTokenizer:
 
     def learn(self, words: list[str]) -> None:
         """Ids of new words, in the order of their numbers."""
-        merge, ends_of_words = self.merges.tokenize, {s: self.kept_run_ids(s) for s in ".,"}
+        merge, letters_then_signs, line_feed = self.merges.tokenize, LETTERS_THEN_SIGNS.fullmatch, self.run_ids("\n")
         ids: list[int] = []
         ends: list[int] = []
         for word in words:
-            if not word.isascii():
-                ids += self.word_ids(word)
-            elif word.isalpha():
-                ids += [t.id for t in merge("Ġ" + word)]
-            elif word[-1] in ends_of_words and word[:-1].isalpha():
-                ids += [t.id for t in merge("Ġ" + word[:-1])]
-                ids += ends_of_words[word[-1]]
+            if found := letters_then_signs(word):
+                before, letters, signs = found.groups()
+                if before == "\n":
+                    ids += line_feed
+                if not letters.isascii():
+                    letters = "".join([SIGNS[c] for c in letters])
+                ids += [t.id for t in merge(letters if before else "Ġ" + letters)]
+                if signs:
+                    ids += self.kept_run_ids(signs)
             else:
                 ids += self.word_ids(word)
             ends.append(len(ids))
@@ -161,15 +193,16 @@ class WordTokenizer:
 
     def encode_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``encode`` for texts without special tokens."""
-        if len(self.numbers) > self.cached_words:
-            self.clear()
-        lists = [words_of(t) if t else [] for t in texts]
-        count = np.fromiter(map(len, lists), np.int64, len(lists))
-        look_up = self.numbers.__getitem__
-        word = np.fromiter(map(look_up, itertools.chain.from_iterable(lists)), np.int64, int(count.sum()))
-        if self.numbers.new:
-            self.learn(self.numbers.new)
-            self.numbers.new = []
+        if len(self.known) > self.cached_words:
+            self.make_room()
+        words, count = word_lists(texts)
+        # Known words come first, so they keep their numbers and new ones follow.
+        found = pa.concat_arrays([self.known, words]).dictionary_encode()
+        word = found.indices.to_numpy()[len(self.known) :]
+        if new := found.dictionary[len(self.known) :].to_numpy(zero_copy_only=False).tolist():
+            self.learn(new)
+            self.known = found.dictionary
+        self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)]) + np.bincount(word, minlength=len(self.known))
         size = (self.starts[1:] - self.starts[:-1])[word]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
