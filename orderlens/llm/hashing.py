@@ -39,8 +39,26 @@ class Powers:
         return self.up[:count], self.down[:count]
 
 
+def running_sums(raw: np.ndarray, powers: Powers) -> np.ndarray:
+    """The polynomial's sum over the bytes before each place, for any number of windows."""
+    up, _ = powers.get(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[raw] * up[: len(raw)], out=sums[1:])
+    return sums
+
+
+def hashes_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+    """``window_hashes`` from the running sums of the bytes."""
+    _, down = powers.get(len(sums))
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def hashes_of_width(sums: np.ndarray, width: int, powers: Powers) -> np.ndarray:
+    """The hash of the ``width`` bytes from each place on."""
+    _, down = powers.get(len(sums))
+    return mix((sums[width:] - sums[:-width]) * down[: len(sums) - width] + np.uint64(width))
+
+
 def window_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
     """Hash of raw[start:end] for each window; equal strings have equal hashes wherever they stand."""
-    up, down = powers.get(len(raw) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[raw] * up[: len(raw)])])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return hashes_between(running_sums(raw, powers), starts, ends, powers)

@@ -26,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.hashing import Powers, mix, window_hashes
+from orderlens.llm.hashing import Powers, hashes_between, hashes_of_width, mix, running_sums
 from orderlens.llm.induced_sort import suffix_order
-from orderlens.llm.tables import drop_stored, stored
+from orderlens.llm.tables import drop_stored, in_slices, stored
 
 LENGTH = 200
 ANCHOR = 24
 #: Bytes before the anchor that make the left half of a window; the right half is the rest.
 LEFT = 88
+#: Characters of texts that are cut at once, one text at least: many short texts cost one round of array operations.
+CUT_CHARS = 1 << 16
 #: Bytes of segments that one suffix array is built over.
 SHARD_BYTES = 4 << 20
 
@@ -47,28 +49,43 @@ def sliding_minimum(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
 
-def segments(raw: np.ndarray, length: int, powers: Powers) -> tuple[np.ndarray, ...]:
-    """(first window, last window, anchor hash, hashes of its halves) of each run of windows with one anchor.
+def segments(texts: list[bytes], length: int, powers: Powers) -> tuple[np.ndarray, ...]:
+    """(text, first window, last window, anchor hash, two hashes, hashes of the halves) of each run of windows with one anchor.
 
     A window over the anchor holds the ``LEFT`` bytes before it or the rest of ``length`` from it on.
-    Each half is told by 32 bits, 0 where no window of the run holds it.
+    Each half is told by 32 bits, 0 where no window of the run holds it. The texts lie end to end here, and
+    no window runs over an end; hashes do not depend on the place.
     """
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    begins = np.concatenate([[0], ends[:-1]])
     if len(raw) < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
-    at = np.arange(len(raw) - ANCHOR + 1)
-    anchors = window_hashes(raw, at, at + ANCHOR, powers)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, *4 * [np.uint64]))
+    sums = running_sums(raw, powers)
+    anchors = hashes_of_width(sums, ANCHOR, powers)
     # Order by 32 bits of hash, then by place: the same in equal windows wherever they stand.
-    key = (anchors & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    key = (anchors & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(anchors), dtype=np.uint64)
     place = (sliding_minimum(key, length - ANCHOR + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    last = np.append(first[1:], len(place)) - 1
-    middle, right = place[first], length - LEFT
+    inside = np.ones(len(place), bool)
+    for begin, end in zip(begins.tolist(), ends.tolist(), strict=True):
+        inside[max(begin, end - length + 1) : end] = False
+    windows = np.flatnonzero(inside)
+    if not len(windows):
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, *4 * [np.uint64]))
+    place = place[windows]
+    # A text's windows are in a row, and those of another text have other anchors.
+    start = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    first, last = windows[start], windows[np.append(start[1:], len(place)) - 1]
+    middle, right = place[start], length - LEFT
     before, after = middle - first >= LEFT, last + length - middle >= right
     one = np.uint64(1)
-    left_hash = window_hashes(raw, np.where(before, middle - LEFT, 0), np.where(before, middle, 0), powers) >> np.uint64(32)
-    right_hash = window_hashes(raw, np.where(after, middle, 0), np.where(after, middle + right, 0), powers) >> np.uint64(32)
+    left_hash = hashes_between(sums, np.where(before, middle - LEFT, 0), np.where(before, middle, 0), powers) >> np.uint64(32)
+    right_hash = hashes_between(sums, np.where(after, middle, 0), np.where(after, middle + right, 0), powers) >> np.uint64(32)
     halves = (np.where(before, left_hash | one, np.uint64(0)) << np.uint64(32)) | np.where(after, right_hash | one, np.uint64(0))
-    return first, last, anchors[middle], halves
+    content = hashes_between(sums, first, last + length, powers)
+    other = hashes_between(running_sums(raw ^ np.uint8(0x5A), powers), first, last + length, powers)
+    text = np.searchsorted(begins, first, side="right") - 1
+    return text, first - begins[text], last - begins[text], anchors[middle], content, other, halves
 
 
 def segment_rows(docs: DataFrame, length: int) -> DataFrame:
@@ -77,13 +94,11 @@ def segment_rows(docs: DataFrame, length: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                raw = np.frombuffer((text or "").encode(), np.uint8)
-                first, last, anchor, halves = segments(raw, length, powers)
+            rows, texts = batch.column("row").to_numpy(), [t or "" for t in batch.column("text").to_pylist()]
+            for low, high in in_slices(texts, CUT_CHARS):
+                text, first, last, anchor, content, other, halves = segments([t.encode() for t in texts[low:high]], length, powers)
                 if len(first):
-                    content = window_hashes(raw, first, last + length, powers)
-                    other = window_hashes(raw ^ 0x5A, first, last + length, powers)
-                    columns = [pa.array(np.full(len(first), row)), *(pa.array(mix(x).view(np.int64)) for x in (anchor, content, other)), pa.array(halves.view(np.int64))]
+                    columns = [pa.array(rows[low:high][text]), *(pa.array(mix(x).view(np.int64)) for x in (anchor, content, other)), pa.array(halves.view(np.int64))]
                     columns += [pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))]
                     yield pa.RecordBatch.from_arrays(columns, ["row", "anchor", "content1", "content2", "halves", "first", "last"])
 

@@ -1,12 +1,14 @@
-"""Tokenizing looks words up in bulk and keeps what comes again."""
+"""Tokenizing looks words up in bulk and keeps what comes again; suffix dedup cuts many texts at once."""
 
 import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from orderlens.llm import token_files, tokens
+from orderlens.llm import suffix_dedup, token_files, tokens
+from orderlens.llm.hashing import Powers
 
 
 def ids_of(texts):
@@ -54,3 +56,28 @@ def test_ranks_of_every_length_come_back():
             control, data = token_files.encode_ranks(ranks)
             assert len(data) == int((1 + (ranks > 0xFF).astype(int) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)).sum()) and len(control) == -(-n // 4)
             assert token_files.decode_ranks(control, data, n).tolist() == ranks.tolist()
+
+
+def test_texts_are_cut_into_segments_together(spark):
+    rng = random.Random(2)
+    passage = "".join(rng.choice("abcdé ") for _ in range(700))
+    texts = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([0, 1, 30, 199, 200, 201, 260, 900]))) for _ in range(300)]
+    texts += [passage, None, "", passage[100:500], "x" * 900, "", passage + texts[7], "end"]
+
+    class Docs:
+        def mapInArrow(self, cut, schema):
+            return cut
+
+    cut = suffix_dedup.segment_rows(Docs(), 200)
+    batch = lambda low, some: pa.RecordBatch.from_arrays([pa.array(range(low, low + len(some)), pa.int64()), pa.array(some, pa.string())], ["row", "text"])
+    together = list(cut(iter([batch(0, texts)])))
+    alone = [b for i, t in enumerate(texts) for b in cut(iter([batch(i, [t])]))]
+    assert pa.Table.from_batches(together).to_pylist() == pa.Table.from_batches(alone).to_pylist()
+    assert len(together) <= 4 < len(alone)
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        found = [r for r in pa.Table.from_batches(together).to_pylist() if r["row"] == i] if i % 25 == 0 or i > 299 else None
+        if found is not None:
+            # Every window of a text stands in one segment of it.
+            assert [w for r in found for w in range(r["first"], r["last"] + 1)] == list(range(max(0, len(raw) - 199)))
+    assert [len(x) for x in suffix_dedup.segments([b"", b"short"], 200, Powers())] == 7 * [0]
