@@ -81,8 +81,13 @@ def fact_of(lines: DataFrame) -> DataFrame:
     )
 
 
+def fact_transactions_of(lines: DataFrame) -> DataFrame:
+    """The fact table of ``customer_lines``."""
+    return calendar(fact_of(lines).na.fill({"Description": UNKNOWN}))
+
+
 def fact_transactions(raw: DataFrame) -> DataFrame:
-    return calendar(fact_of(customer_lines(raw)).na.fill({"Description": UNKNOWN}))
+    return fact_transactions_of(customer_lines(raw))
 
 
 def is_sale() -> Column:

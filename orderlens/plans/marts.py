@@ -89,6 +89,10 @@ class StoredInputs(Inputs):
     def dates(self) -> DataFrame:
         return self._stored("dim_date")
 
+    @cached_property
+    def star_tables(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        return self.fact, self.customers, self.products, self.dates
+
     @cached_property
     def features(self) -> DataFrame:
         return self._stored("customer_features")

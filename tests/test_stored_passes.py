@@ -1,11 +1,14 @@
 """Queries of several passes read what they need from one stored table."""
 
+import time
+
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from orderlens.functions.distinct import distinct_counts
-from orderlens.functions.durable import stored_by
-from orderlens.operators import cleaning, dashboard, features
+from orderlens.functions.durable import stored, stored_by
+from orderlens.operators import cleaning, dashboard, features, star
 from orderlens.plans import catalog
 from orderlens.plans import inputs as plan_inputs
 from orderlens.plans.inputs import Inputs
@@ -85,3 +88,50 @@ def test_copies_are_removed_within_buckets(spark):
     lines = stored_by(spark.createDataFrame(rows, "k long, v string, w double"), "k", lambda df: df.na.drop(subset=["k"]).dropDuplicates())
     assert sorted(map(str, lines.collect())) == sorted(map(str, spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (2, "a", None)], "k long, v string, w double").collect()))
     assert "hashpartitioning" not in plan_of(lines.groupBy("k").count())
+
+
+def test_star_join_makes_its_lines_once(spark):
+    plan = plan_of(catalog.queries()["star_join"](spark, FOLDER))
+    # The lines go by product alone; they are stored by customer, and days are broadcast.
+    assert "lineitem" not in plan and "hashpartitioning(CustomerID" not in plan
+    assert plan.count("hashpartitioning(Date") == 1
+
+
+def test_star_join_of_stored_lines(spark, make_lines):
+    day = "2011-03-05 10:00:00"
+    inputs = Inputs(spark, "unused")
+    inputs.raw = make_lines(
+        ("1", "A", "cup", 2, day, 1.5, 7, "eire"),
+        ("1", "A", "cup", 2, day, 1.5, 7, "eire"),  # a copy
+        ("2", "A", None, 1, "2011-03-07 09:00:00", 1.5, 7, "France"),
+        ("C3", "A", "CUP", -1, day, 0.0, 8, None),
+        ("4", "B", None, 1, day, 2.0, 8, "Spain"),
+        ("5", "B", "jar", 1, day, 0.0, 8, "Spain"),  # a bad price
+        ("6", "A", "cup", 1, day, 1.5, None, "Spain"),  # an unknown customer
+        ("7", None, "jug", 1, day, 1.0, 9, "Spain"),  # meets no product
+        ("8", "A", "cup", 1, None, 1.0, 9, "Spain"),  # meets no day
+        (None, "A", "cup", 1, day, 1.0, 9, "Spain"),
+    )
+    got = rows(star.star_join(*inputs.star_tables), "InvoiceNo", "StockCode", "CustomerID", "Quantity", "TotalAmount", "MonthName", "IsWeekend", "ProductName", "CustomerCountry", "CustomerOrders")
+    assert got == [
+        ("1", "A", 7, 2, 3.0, "March", 1, "cup", "Ireland", 2),
+        ("2", "A", 7, 1, 1.5, "March", 0, "cup", "Ireland", 2),
+        ("4", "B", 8, 1, 2.0, "March", 1, "UNKNOWN", None, 2),
+        ("C3", "A", 8, -1, 0.0, "March", 1, "cup", None, 2),
+        (None, "A", 9, 1, 1.0, "March", 1, "cup", "Spain", 2),
+    ]
+
+
+@pytest.mark.parametrize("keep", [stored, lambda df: stored_by(df, "k")])
+def test_shuffle_files_go_once_the_table_is_written(spark, keep):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for i in range(blocks.size()) if (b := blocks.apply(i).toString()).startswith("shuffle_")}
+
+    before = shuffled()
+    table = keep(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count())
+    deadline = time.time() + 20
+    while shuffled() - before and time.time() < deadline:  # deletion runs beside the driver
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert table.count() == 10
