@@ -3,13 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.durable import stored
 from orderlens.functions.numeric import EXACT, percent
 from orderlens.functions.ordering import running_totals
 
 
 def pareto(sales: DataFrame) -> DataFrame:
-    customers = sales.groupBy("CustomerID").agg(
-        F.sum(F.col("TotalAmount").cast(EXACT)).alias("amount")
+    """The customers are written once: split points, sums, totals and the ranking itself read them."""
+    customers = stored(
+        sales.groupBy("CustomerID").agg(F.sum(F.col("TotalAmount").cast(EXACT)).alias("amount"))
     )
     placed = running_totals(
         customers,

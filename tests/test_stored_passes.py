@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.distinct import distinct_counts
 from orderlens.functions.durable import stored, stored_by
-from orderlens.operators import cleaning, dashboard, features, star
+from orderlens.operators import cleaning, dashboard, features, pareto, star
 from orderlens.plans import catalog
 from orderlens.plans import inputs as plan_inputs
 from orderlens.plans.inputs import Inputs
@@ -135,3 +135,20 @@ def test_shuffle_files_go_once_the_table_is_written(spark, keep):
         time.sleep(0.2)
     assert not shuffled() - before
     assert table.count() == 10
+
+
+@pytest.mark.parametrize("name", ["pareto", "pareto_80"])
+def test_ranked_customers_are_made_once(spark, name):
+    assert "lineitem" not in plan_of(catalog.queries()[name](spark, FOLDER))
+
+
+def test_stored_customers_are_ranked_alike(spark):
+    lines = [(1, 10.0), (1, 20.0), (2, 30.0), (3, 40.0), (None, 60.0), (4, None)]
+    got = pareto.pareto(spark.createDataFrame(lines, "CustomerID long, TotalAmount double")).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[3]) == [
+        (None, 60.0, 37.5, 20.0),
+        (3, 40.0, 62.5, 40.0),
+        (1, 30.0, 81.25, 60.0),
+        (2, 30.0, 100.0, 80.0),
+        (4, None, 100.0, 100.0),
+    ]
