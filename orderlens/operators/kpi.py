@@ -22,8 +22,20 @@ def _best(sales: DataFrame, key: str) -> Column:
 def executive_kpis(sales: DataFrame) -> DataFrame:
     """kpi, value, label: numbers in ``value``, names in ``label``.
 
-    Growth sets the last month against the first; the retention proxy equals the repeat rate.
+    Growth sets the last month against the first; the retention proxy equals the repeat rate. What
+    the figures need of the lines is written once, as each of them reads it.
     """
+    sales = stored(
+        sales.select(
+            "CustomerID",
+            "InvoiceNo",
+            "Country",
+            "Description",
+            year_month("InvoiceDate").alias("month"),
+            "Quantity",
+            "TotalAmount",
+        )
+    )
     per_order = sales.groupBy("CustomerID", "InvoiceNo").agg(
         F.sum(F.col("TotalAmount").cast(EXACT)).alias("amount"),
         F.sum("Quantity").alias("items"),
@@ -40,7 +52,7 @@ def executive_kpis(sales: DataFrame) -> DataFrame:
         .agg(F.count_if(F.col("orders") > 1).cast("double"))
         .scalar()
     )
-    months = revenue_by(sales, year_month("InvoiceDate").alias("month"))
+    months = revenue_by(sales, F.col("month"))
     ends = (
         months.agg(
             F.min_by("revenue", "month").alias("first"), F.max_by("revenue", "month").alias("last")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.distinct import distinct_counts
 from orderlens.functions.durable import stored, stored_by
-from orderlens.operators import cleaning, dashboard, features, pareto, star
+from orderlens.operators import cleaning, dashboard, features, kpi, pareto, star
 from orderlens.plans import catalog
 from orderlens.plans import inputs as plan_inputs
 from orderlens.plans.inputs import Inputs
@@ -152,3 +152,33 @@ def test_stored_customers_are_ranked_alike(spark):
         (2, 30.0, 100.0, 80.0),
         (4, None, 100.0, 100.0),
     ]
+
+
+def test_kpis_make_their_lines_once(spark):
+    assert "lineitem" not in plan_of(catalog.queries()["executive_kpis"](spark, FOLDER))
+
+
+def test_kpis_of_stored_lines(spark):
+    lines = [
+        (1, "a", "X", "cup", "2011-01-05", 2, 10.0),
+        (1, "a", "X", "jar", "2011-01-05", 1, 5.0),
+        (1, "b", None, None, "2011-02-01", 1, 90.0),  # known to neither country nor product
+        (2, "c", "Y", "cup", None, 3, 20.0),  # in no month
+        (3, "c", "Y", "jar", "2011-03-01", 3, 30.0),  # an invoice of two customers
+    ]
+    schema = "CustomerID long, InvoiceNo string, Country string, Description string, at string, Quantity long, TotalAmount double"
+    df = spark.createDataFrame(lines, schema).withColumn("InvoiceDate", F.col("at").cast("timestamp"))
+    got = {r["kpi"]: r["label"] if r["value"] is None else r["value"] for r in kpi.executive_kpis(df).collect()}
+    assert got == {
+        "revenue": 155.0,
+        "orders": 3.0,
+        "customers": 3.0,
+        "aov": pytest.approx(155 / 3),
+        "revenue_per_customer": pytest.approx(155 / 3),
+        "repeat_pct": pytest.approx(100 / 3),
+        "items_per_order": pytest.approx(10 / 3),
+        "growth_pct": 100.0,
+        "retention_proxy_pct": pytest.approx(100 / 3),
+        "top_country": "Y",
+        "top_product": "jar",
+    }
