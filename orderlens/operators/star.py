@@ -110,9 +110,9 @@ def star_join(
     """Fact lines with attributes of their three dimensions.
 
     Dimensions are unique on their key, so lines never multiply. Small ones are broadcast by the
-    engine's size check; otherwise adaptive execution splits hot customers and products. Lines in
-    buckets of the customer meet customers without a shuffle. Names of products and of months come
-    last, so no shuffle of lines carries them; days are few, so they are broadcast.
+    engine's size check; otherwise adaptive execution splits hot customers and products. Names of
+    products and of months come last, so no shuffle of lines carries them; days are few, so they
+    are broadcast.
     """
     def attributes(dim: DataFrame, key: str, **names: str) -> DataFrame:
         return dim.select(key, *[F.col(c).alias(n) for n, c in names.items()])
